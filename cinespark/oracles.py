@@ -208,3 +208,70 @@ ORACLES["movie_mart"] = with_ctes(MOVIE_GENRE_CTE, MOVIE_MART_CTE) + "SELECT * F
 ORACLES["actor_mart"] = with_ctes(CREDITS_CTE, ACTOR_MART_CTE) + "SELECT * FROM actor_mart"
 
 ORACLES["director_mart"] = with_ctes(CREDITS_CTE, DIRECTOR_MART_CTE) + "SELECT * FROM director_mart"
+
+
+# ------------------------------------------------------------------ M9-M11
+
+ACTOR_MIN_FIXTURE = 5
+DIRECTOR_MIN_FIXTURE = 3
+
+CAST_CTE = f"""
+cd_final AS (
+  SELECT nconst, tconst, primaryName, category, COUNT(tconst) OVER (PARTITION BY nconst) AS nb_film
+  FROM credits WHERE startYear > 1970),
+cast_distribution AS (
+  SELECT tconst, primaryName, nb_film FROM cd_final
+  WHERE (regexp_matches(category, '(actor|actress)') AND nb_film >= {ACTOR_MIN_FIXTURE})
+     OR (regexp_matches(category, 'director') AND nb_film >= {DIRECTOR_MIN_FIXTURE})),
+movie_cast AS (
+  SELECT DSM.tconst, primaryName, primaryTitle, originalTitle, genres, startYear, decade,
+         runtimeMinutes, averageRating, numVotes, genre
+  FROM movie_genre AS DSM LEFT JOIN cast_distribution AS D_D ON DSM.tconst = D_D.tconst)"""
+
+ML_KEYS_SQL = ("tconst, primarytitle, originaltitle, genres, startyear, decade, runtimeminutes, "
+               "averagerating, numvotes")
+
+
+def _fname(c: str) -> str:
+    return f"replace(replace(replace(lower({c}), '_', ''), '-', '_'), ' ', '_')"
+
+
+ML_ROWS_CTE = f"""
+ml_rows AS (
+  SELECT NULLIF(tconst, {S}) AS tconst, NULLIF(primaryTitle, {S}) AS primarytitle,
+         NULLIF(originalTitle, {S}) AS originaltitle, NULLIF(genres, {S}) AS genres,
+         startYear AS startyear, decade, runtimeMinutes AS runtimeminutes,
+         averageRating AS averagerating, numVotes AS numvotes,
+         NULLIF(genre, {S}) AS genre, NULLIF(primaryName, {S}) AS primaryname
+  FROM movie_cast),
+ml_films AS (
+  SELECT DISTINCT {ML_KEYS_SQL} FROM ml_rows
+  WHERE tconst IS NOT NULL AND primarytitle IS NOT NULL AND originaltitle IS NOT NULL
+    AND genres IS NOT NULL AND startyear IS NOT NULL AND decade IS NOT NULL
+    AND runtimeminutes IS NOT NULL AND averagerating IS NOT NULL AND numvotes IS NOT NULL)"""
+
+
+def _ml_select(kinds: list[str]) -> str:
+    """Wide one-hot matrix. DuckDB's dynamic PIVOT cannot see sibling CTEs,
+    so the pivot source and the film list are self-contained subqueries."""
+    base = with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE, ML_ROWS_CTE)
+    parts = []
+    if "genre" in kinds:
+        parts.append(f"SELECT {ML_KEYS_SQL}, {_fname('genre')} AS feature FROM ml_rows")
+    if "name" in kinds:
+        parts.append(f"SELECT {ML_KEYS_SQL}, {_fname('primaryname')} AS feature FROM ml_rows")
+    pairs = " UNION ALL ".join(parts)
+    return (f"WITH ml_piv AS (PIVOT ({base} SELECT * FROM ({pairs}) WHERE feature IS NOT NULL) "
+            f"ON feature USING max(1) GROUP BY {ML_KEYS_SQL}),\n"
+            f"films AS ({base} SELECT * FROM ml_films)\n"
+            f"SELECT films.*, COALESCE(COLUMNS(ml_piv.* EXCLUDE ({ML_KEYS_SQL})), 0) "
+            f"FROM films LEFT JOIN ml_piv USING ({ML_KEYS_SQL})")
+
+
+ORACLES["cast_distribution"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE)
+                                + "SELECT * FROM cast_distribution")
+ORACLES["movie_cast"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE)
+                         + "SELECT * FROM movie_cast")
+ORACLES["ml_genre_onehot"] = _ml_select(["genre"])
+ORACLES["ml_cast_onehot"] = _ml_select(["name"])
+ORACLES["ml_matrix"] = _ml_select(["genre", "name"])
