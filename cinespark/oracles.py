@@ -275,3 +275,180 @@ ORACLES["movie_cast"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE)
 ORACLES["ml_genre_onehot"] = _ml_select(["genre"])
 ORACLES["ml_cast_onehot"] = _ml_select(["name"])
 ORACLES["ml_matrix"] = _ml_select(["genre", "name"])
+
+
+# ------------------------------------------------------------------ serving + D1-D9
+
+from cinespark import fixture_params as P  # noqa: E402
+
+_ACTOR_KINDS = [("Nconst", "s"), ("tconst", "s"), ("primaryName", "s"), ("birthYear", "n"),
+                ("deathYear", "n"), ("primaryTitle", "s"), ("originalTitle", "s"),
+                ("startYear", "n"), ("runtimeMinutes", "n"), ("genres", "s"), ("nb_film", "n"),
+                ("sexe", "n"), ("age_in_movie", "n"), ("age", "n"), ("decade", "n"),
+                ("rank", "n"), ("film_per_decade", "n")]
+_DIRECTOR_KINDS = [("Nconst", "s"), ("tconst", "s"), ("primaryName", "s"), ("birthYear", "n"),
+                   ("deathYear", "n"), ("primaryProfession", "s"), ("primaryTitle", "s"),
+                   ("originalTitle", "s"), ("startYear", "n"), ("runtimeMinutes", "n"),
+                   ("genres", "s"), ("age_in_movie", "n"), ("age", "n"), ("decade", "n"),
+                   ("nb_film", "n"), ("rank", "n"), ("film_per_decade", "n")]
+
+
+def _fill(kinds) -> str:
+    return ", ".join(f"COALESCE({c}, '-9999') AS {c}" if k == "s" else f"COALESCE({c}, -9999) AS {c}"
+                     for c, k in kinds)
+
+
+SERVING_CTE = f"""
+movie_serving AS (
+  SELECT * FROM movie_filled
+  WHERE decade > 0 AND genre <> '-9999' AND runtimeminutes > 0 AND averagerating > 0),
+actor_serving AS (
+  SELECT * FROM (SELECT {_fill(_ACTOR_KINDS)} FROM actor_mart)
+  WHERE nb_film > {P.ACTOR_SERVING_MIN} AND age > 0 AND age_in_movie > 0),
+director_serving AS (
+  SELECT * FROM (SELECT {_fill(_DIRECTOR_KINDS)} FROM director_mart)
+  WHERE nb_film > {P.DIRECTOR_SERVING_MIN} AND age > 0),
+sel_a AS (SELECT DISTINCT Nconst FROM actor_serving WHERE rank <= {P.SELECT_RANK}),
+sel_d AS (SELECT DISTINCT Nconst FROM director_serving WHERE rank <= {P.SELECT_RANK})"""
+
+SERVING_BASE = with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, MOVIE_MART_CTE, ACTOR_MART_CTE,
+                         DIRECTOR_MART_CTE, SERVING_CTE)
+
+
+def _lit_list(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def facet_films(genres=None, decades=None, notes=None, actors=False, directors=False) -> str:
+    """SQL of D1 for the given facets; ``actors`` / ``directors`` select
+    the rank-based people."""
+    conds = []
+    if genres:
+        conds.append(f"genre IN ({_lit_list(genres)})")
+    if decades:
+        conds.append(f"decade IN ({_lit_list(decades)})")
+    if notes:
+        conds.append(f"CAST(FLOOR(averagerating) AS INTEGER) IN ({_lit_list(notes)})")
+    base = "SELECT * FROM movie_serving" + (" WHERE " + " AND ".join(conds) if conds else "")
+    a = "(SELECT * FROM actor_serving WHERE Nconst IN (SELECT Nconst FROM sel_a))"
+    d = "(SELECT * FROM director_serving WHERE Nconst IN (SELECT Nconst FROM sel_d))"
+    if actors and directors:
+        return (f"SELECT f.*, a.primaryName AS primaryName_x, a.Nconst AS Nconst_x, a.sexe, "
+                f"a.age AS age_x, d.primaryName AS primaryName_y, d.Nconst AS Nconst_y, "
+                f"d.age AS age_y FROM ({base}) f JOIN {a} a ON f.tconst = a.tconst "
+                f"JOIN {d} d ON f.tconst = d.tconst")
+    if actors:
+        return (f"SELECT f.*, a.primaryName, a.Nconst, a.age, a.sexe FROM ({base}) f "
+                f"JOIN {a} a ON f.tconst = a.tconst")
+    if directors:
+        return (f"SELECT f.*, d.primaryName, d.Nconst, d.age FROM ({base}) f "
+                f"JOIN {d} d ON f.tconst = d.tconst")
+    return base
+
+
+def _names(kind_tables) -> str:
+    if not kind_tables:
+        return "''"
+    parts = " UNION ALL ".join(
+        f"SELECT {k} AS kind, max(primaryName) AS name FROM {tbl} "
+        f"WHERE Nconst IN (SELECT Nconst FROM {sel}) GROUP BY Nconst"
+        for k, (tbl, sel) in kind_tables)
+    return f"(SELECT coalesce(string_agg(name, ',' ORDER BY kind, name), '') FROM ({parts}))"
+
+
+def key_numbers_sql(actors=False, directors=False, **facets) -> str:
+    kinds = []
+    if actors:
+        kinds.append((0, ("actor_serving", "sel_a")))
+    if directors:
+        kinds.append((1, ("director_serving", "sel_d")))
+    if actors and directors:
+        age = "greatest(max(age_x), max(age_y))"
+    elif actors or directors:
+        age = "max(age)"
+    else:
+        age = "CAST(NULL AS INTEGER)"
+    return (SERVING_BASE + f"SELECT COUNT(*) AS n_rows, round(avg(averagerating), 2) AS mean_rating, "
+            f"CAST(round_even(avg(runtimeminutes), 0) AS INTEGER) AS mean_runtime, "
+            f"{_names(kinds)} AS names, CAST({age} AS INTEGER) AS max_age "
+            f"FROM ({facet_films(actors=actors, directors=directors, **facets)})")
+
+
+def grouped_sql(by: list[str], cols: list[str], films: str) -> str:
+    keys = ", ".join(by)
+    aggs = ", ".join(f"round(avg({c}), 4) AS {c}" for c in cols)
+    return SERVING_BASE + f"SELECT {keys}, {aggs} FROM ({films}) GROUP BY {keys} ORDER BY {keys}"
+
+
+def age_by_sex_sql(by: list[str], genres=None, decades=None, notes=None) -> str:
+    films = facet_films(genres, decades, notes)
+    extra = f" AND a.decade IN ({_lit_list(decades)})" if decades else ""
+    rows = (f"SELECT f.tconst, f.genre, f.decade, a.sexe, a.age_in_movie FROM ({films}) f "
+            f"JOIN actor_serving a ON f.tconst = a.tconst WHERE f.genre <> 'News'{extra}")
+    return grouped_sql(by, ["age_in_movie"], rows)
+
+
+def top_performers_sql(n: int = 30, directors=False, **facets) -> str:
+    films = facet_films(directors=directors, **facets)
+    return (SERVING_BASE + f"SELECT primaryName, CASE WHEN sexe = 0 THEN 'Homme' ELSE 'Femme' END AS sexe, n "
+            f"FROM (SELECT a.primaryName, a.sexe, COUNT(f.tconst) AS n FROM ({films}) f "
+            f"JOIN actor_serving a ON f.tconst = a.tconst GROUP BY a.primaryName, a.sexe "
+            f"ORDER BY n DESC, primaryName ASC, sexe ASC LIMIT {n})")
+
+
+def movie_table_sql(page: int = 0, size: int = 25, **facets) -> str:
+    return (SERVING_BASE + f"SELECT tconst, primarytitle, startyear, decade, runtimeminutes, genres, "
+            f"averagerating, numvotes FROM ({facet_films(**facets)}) "
+            f"ORDER BY decade DESC, numvotes DESC, averagerating DESC, tconst ASC, genre ASC "
+            f"LIMIT {size} OFFSET {page * size}")
+
+
+G, D, N = P.GENRES, P.DECADES, P.NOTES
+
+ORACLES["serving_scan_movie"] = SERVING_BASE + "SELECT * FROM movie_serving"
+ORACLES["serving_scan_actor"] = SERVING_BASE + "SELECT * FROM actor_serving"
+ORACLES["serving_scan_director"] = SERVING_BASE + "SELECT * FROM director_serving"
+
+ORACLES["facet_filter"] = SERVING_BASE + facet_films(G, D, N)
+ORACLES["facet_filter_actors"] = SERVING_BASE + facet_films(actors=True)
+ORACLES["facet_filter_directors"] = SERVING_BASE + facet_films(directors=True)
+ORACLES["facet_filter_both"] = SERVING_BASE + facet_films(actors=True, directors=True)
+
+ORACLES["key_numbers"] = key_numbers_sql()
+ORACLES["key_numbers_actors"] = key_numbers_sql(actors=True)
+ORACLES["key_numbers_directors"] = key_numbers_sql(directors=True)
+ORACLES["key_numbers_both"] = key_numbers_sql(actors=True, directors=True)
+
+ORACLES["count_by_genre"] = (SERVING_BASE + f"SELECT genre, COUNT(*) AS n FROM ({facet_films(G, None, N)}) "
+                             f"GROUP BY genre ORDER BY genre")
+ORACLES["count_by_decade"] = (SERVING_BASE + f"SELECT decade, COUNT(*) AS n FROM ({facet_films(None, D, N)}) "
+                              f"GROUP BY decade ORDER BY decade")
+
+_RV = ["averagerating", "numvotes"]
+ORACLES["rating_votes_by_genre"] = grouped_sql(["genre"], _RV, facet_films(G, None, N))
+ORACLES["rating_votes_by_decade"] = grouped_sql(["decade"], _RV, facet_films(G, None, N))
+ORACLES["rating_votes_by_decade_genre"] = grouped_sql(["decade", "genre"], _RV, facet_films(G, D, N))
+
+ORACLES["runtime_by_genre"] = grouped_sql(["genre"], ["runtimeminutes"], facet_films(G, None, N))
+ORACLES["runtime_by_decade"] = grouped_sql(["decade"], ["runtimeminutes"], facet_films(G, D, N))
+ORACLES["runtime_by_decade_genre"] = grouped_sql(["decade", "genre"], ["runtimeminutes"],
+                                                 facet_films(G, D, N))
+
+ORACLES["age_by_sex_genre"] = age_by_sex_sql(["sexe", "genre"], G, None, N)
+ORACLES["age_by_sex_decade"] = age_by_sex_sql(["sexe", "decade"], G, None, N)
+ORACLES["age_by_sex_decade_genre"] = age_by_sex_sql(["sexe", "decade", "genre"], G, D, N)
+
+ORACLES["top_performers"] = top_performers_sql(30)
+ORACLES["top_performers_filtered"] = top_performers_sql(30, directors=True, genres=G, notes=N)
+
+ORACLES["movie_table"] = movie_table_sql(0, 25, genres=G, notes=N)
+ORACLES["movie_table_page1"] = movie_table_sql(1, 25, genres=G, notes=N)
+
+ORACLES["facet_options"] = SERVING_BASE + """
+SELECT 'genre' AS facet, genre AS value, genre AS label FROM (SELECT DISTINCT genre FROM movie_serving)
+UNION ALL SELECT 'note', CAST(i AS VARCHAR), CAST(i AS VARCHAR) FROM range(1, 11) t(i)
+UNION ALL SELECT 'actor', Nconst, max(primaryName) FROM actor_serving GROUP BY Nconst
+UNION ALL SELECT 'director', Nconst, max(primaryName) FROM director_serving GROUP BY Nconst
+UNION ALL SELECT 'decade', CAST(decade AS VARCHAR), CAST(decade AS VARCHAR)
+          FROM (SELECT DISTINCT decade FROM movie_serving)
+UNION ALL SELECT 'see_value', v, v FROM (VALUES ('decade'), ('genre')) t(v)"""

@@ -118,3 +118,73 @@ def q_ml_cast_onehot(spark, sf_dir):
 @query("ml_matrix")
 def q_ml_matrix(spark, sf_dir):
     return features.ml_onehot(cast_rows(spark, sf_dir)[0], ("genre", "name"))
+
+
+# ------------------------------------------------------------------ serving + dashboard
+
+from cinespark import fixture_params as P  # noqa: E402
+from cinespark.plans import facets  # noqa: E402
+
+
+def serving(spark, sf_dir):
+    return facets.build_serving(tables(spark, sf_dir), as_of_year=P.AS_OF_YEAR,
+                                actor_min=P.ACTOR_SERVING_MIN,
+                                director_min=P.DIRECTOR_SERVING_MIN)
+
+
+def _sel(rows):
+    return rows.filter(F.col("rank") <= P.SELECT_RANK).select("Nconst")
+
+
+def _dash(fn, **kw):
+    """Register-time helper: bind a dashboard function and its facets."""
+    def run(spark, sf_dir):
+        s = serving(spark, sf_dir)
+        args = dict(kw)
+        if args.pop("sel_actors", False):
+            args["actors"] = _sel(s.actors)
+        if args.pop("sel_directors", False):
+            args["directors"] = _sel(s.directors)
+        return fn(s, **args)
+    return run
+
+
+G, D, N = P.GENRES, P.DECADES, P.NOTES
+
+QUERIES["serving_scan_movie"] = lambda spark, d: serving(spark, d).movies
+QUERIES["serving_scan_actor"] = lambda spark, d: serving(spark, d).actors
+QUERIES["serving_scan_director"] = lambda spark, d: serving(spark, d).directors
+
+QUERIES["facet_filter"] = _dash(facets.facet_filter, genres=G, decades=D, notes=N)
+QUERIES["facet_filter_actors"] = _dash(facets.facet_filter, sel_actors=True)
+QUERIES["facet_filter_directors"] = _dash(facets.facet_filter, sel_directors=True)
+QUERIES["facet_filter_both"] = _dash(facets.facet_filter, sel_actors=True, sel_directors=True)
+
+QUERIES["key_numbers"] = _dash(facets.key_numbers)
+QUERIES["key_numbers_actors"] = _dash(facets.key_numbers, sel_actors=True)
+QUERIES["key_numbers_directors"] = _dash(facets.key_numbers, sel_directors=True)
+QUERIES["key_numbers_both"] = _dash(facets.key_numbers, sel_actors=True, sel_directors=True)
+
+QUERIES["count_by_genre"] = _dash(facets.count_by, facet="genre", genres=G, notes=N)
+QUERIES["count_by_decade"] = _dash(facets.count_by, facet="decade", decades=D, notes=N)
+
+QUERIES["rating_votes_by_genre"] = _dash(facets.rating_votes, genres=G, notes=N)
+QUERIES["rating_votes_by_decade"] = _dash(facets.rating_votes, genres=G, notes=N, view="decade")
+QUERIES["rating_votes_by_decade_genre"] = _dash(facets.rating_votes, genres=G, decades=D, notes=N)
+
+QUERIES["runtime_by_genre"] = _dash(facets.runtime_by, genres=G, notes=N)
+QUERIES["runtime_by_decade"] = _dash(facets.runtime_by, genres=G, decades=D, notes=N, view="decade")
+QUERIES["runtime_by_decade_genre"] = _dash(facets.runtime_by, genres=G, decades=D, notes=N)
+
+QUERIES["age_by_sex_genre"] = _dash(facets.age_by_sex, genres=G, notes=N)
+QUERIES["age_by_sex_decade"] = _dash(facets.age_by_sex, genres=G, notes=N, view="decade")
+QUERIES["age_by_sex_decade_genre"] = _dash(facets.age_by_sex, genres=G, decades=D, notes=N)
+
+QUERIES["top_performers"] = _dash(facets.top_performers)
+QUERIES["top_performers_filtered"] = _dash(facets.top_performers, genres=G, notes=N,
+                                           sel_directors=True)
+
+QUERIES["movie_table"] = _dash(facets.movie_table, genres=G, notes=N, page_number=0)
+QUERIES["movie_table_page1"] = _dash(facets.movie_table, genres=G, notes=N, page_number=1)
+
+QUERIES["facet_options"] = _dash(facets.facet_options)
