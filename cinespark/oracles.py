@@ -452,3 +452,23 @@ UNION ALL SELECT 'director', Nconst, max(primaryName) FROM director_serving GROU
 UNION ALL SELECT 'decade', CAST(decade AS VARCHAR), CAST(decade AS VARCHAR)
           FROM (SELECT DISTINCT decade FROM movie_serving)
 UNION ALL SELECT 'see_value', v, v FROM (VALUES ('decade'), ('genre')) t(v)"""
+
+
+# ------------------------------------------------------------------ S1, S2, S4, S5
+
+ORACLES["read_tables"] = with_ctes() + "SELECT * FROM tb"
+
+ORACLES["source_check"] = with_ctes() + """
+SELECT 'name_basics' AS table_name, true AS present, COUNT(*) AS n_rows FROM name_basics
+UNION ALL SELECT 'title_akas', true, COUNT(*) FROM title_akas
+UNION ALL SELECT 'title_basics', true, COUNT(*) FROM title_basics
+UNION ALL SELECT 'title_principals', true, COUNT(*) FROM title_principals
+UNION ALL SELECT 'title_ratings', true, COUNT(*) FROM title_ratings"""
+
+ORACLES["csv_sink"] = with_ctes(GENRE_STATS_CTE) + """
+SELECT genre, replace(CAST(runtimeminutes AS VARCHAR), '.', ',') AS runtimeminutes,
+       replace(CAST(averagerating AS VARCHAR), '.', ',') AS averagerating,
+       replace(CAST(numvotes AS VARCHAR), '.', ',') AS numvotes
+FROM genre_stats"""
+
+ORACLES["decimal_comma_cast"] = with_ctes(GENRE_STATS_CTE) + "SELECT * FROM genre_stats"

@@ -188,3 +188,44 @@ QUERIES["movie_table"] = _dash(facets.movie_table, genres=G, notes=N, page_numbe
 QUERIES["movie_table_page1"] = _dash(facets.movie_table, genres=G, notes=N, page_number=1)
 
 QUERIES["facet_options"] = _dash(facets.facet_options)
+
+
+# ------------------------------------------------------------------ sources and sinks
+
+from cinespark.plans.catalog import FilmTables  # noqa: E402
+from cinespark.session import scratch_path  # noqa: E402
+from cinespark.sources import check, sinks, tsv  # noqa: E402
+from cinespark.sources.fixtures import raw_film_tables  # noqa: E402
+
+
+@query("read_tables")
+def q_read_tables(spark, sf_dir):
+    """Raw fixture tables written as gzip TSV to the shared folder, read back
+    with the source reader and typed; returns ``title_basics``."""
+    folder = scratch_path(spark, "tsv")
+    raw = raw_film_tables(spark, sf_dir)
+    for name in ["title.basics"]:
+        tsv.write_raw_tsv(raw[name.replace(".", "_")], f"{folder}/{name}.tsv.gz")
+    return tsv.read_tables(spark, folder, names=["title.basics"], register=False).title_basics
+
+
+@query("source_check")
+def q_source_check(spark, sf_dir):
+    return check.source_check(spark, FilmTables.from_raw(raw_film_tables(spark, sf_dir)).as_dict())
+
+
+def _genre_csv(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    sinks.csv_sink(marts.genre_stats(tables(spark, sf_dir)), path, sep=",", single_file=True)
+    return sinks.read_csv_text(spark, path)
+
+
+@query("csv_sink")
+def q_csv_sink(spark, sf_dir):
+    return _genre_csv(spark, sf_dir)
+
+
+@query("decimal_comma_cast")
+def q_decimal_comma_cast(spark, sf_dir):
+    return sinks.decimal_comma_cast(_genre_csv(spark, sf_dir),
+                                    ["runtimeminutes", "averagerating", "numvotes"])
