@@ -67,7 +67,22 @@ class FilmTables:
             df.createOrReplaceTempView(prefix + n)
 
 
-def load_film_tables(spark: SparkSession, sf_dir: str) -> FilmTables:
-    """Film tables derived from the test star schema under ``sf_dir``."""
+_PLANS: dict[tuple[int, str], tuple[SparkSession, FilmTables]] = {}
+
+
+def load_film_tables(spark: SparkSession, sf_dir: str, reuse: bool = True) -> FilmTables:
+    """Film tables derived from the test star schema under ``sf_dir``.
+
+    The lazy plans are built once per session and directory (like tables
+    loaded at application start); every action still reads the files.
+    ``reuse=False`` lists the files again.
+    """
     from cinespark.sources.fixtures import raw_film_tables
-    return FilmTables.from_raw(raw_film_tables(spark, sf_dir))
+
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _PLANS.get(key)
+    if reuse and hit is not None and hit[0] is spark:
+        return hit[1]
+    tables = FilmTables.from_raw(raw_film_tables(spark, sf_dir))
+    _PLANS[key] = (spark, tables)
+    return tables

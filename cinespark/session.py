@@ -22,6 +22,7 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -69,3 +70,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/cinespark/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a frame that
+    reads it back: the lineage is cut, an intermediate used by several jobs
+    is computed once, and a lost executor costs a re-read, not a recompute."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
