@@ -63,7 +63,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="cinespark-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
