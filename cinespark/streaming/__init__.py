@@ -1,0 +1 @@
+from cinespark.streaming.serving_stream import start_serving_refresh, stream_serving_scan  # noqa: F401

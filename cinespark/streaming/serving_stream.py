@@ -1,0 +1,43 @@
+"""Serving scans on a file stream.
+
+The reference has no streaming: its dashboard reads a snapshot of the marts
+once. The serving predicates (job S3) are stateless filters, so the same
+functions apply to a Structured Streaming source: mart files that land in a
+folder are filtered as they arrive and appended to the serving table.
+Nothing here keeps state; the stream checkpoint only records which files
+were read, so a restarted query resumes after a lost driver or executor.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from cinespark.sources import serving as sv
+
+SCANS = {
+    "movie": lambda df, _m: sv.serving_scan_movie(df),
+    "actor": sv.serving_scan_actor,
+    "director": sv.serving_scan_director,
+}
+
+
+def stream_serving_scan(spark: SparkSession, source_dir: str, kind: str, schema: StructType,
+                        min_films: int = sv.SERVING_MIN_FILMS,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of the ``kind`` mart files under ``source_dir``,
+    filtered by the serving predicate."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return SCANS[kind](reader.parquet(source_dir), min_films)
+
+
+def start_serving_refresh(stream: DataFrame, table_dir: str, checkpoint_dir: str,
+                          available_now: bool = False) -> StreamingQuery:
+    """Append the filtered rows to a Parquet serving table."""
+    writer = (stream.writeStream.format("parquet").outputMode("append")
+              .option("path", table_dir).option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()

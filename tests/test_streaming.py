@@ -1,0 +1,25 @@
+"""The serving scan on a file stream equals the batch scan."""
+
+from cinespark import queries as Q
+from cinespark.plans import marts
+from cinespark.session import scratch_path
+from cinespark.sources.serving import serving_scan_actor
+from cinespark.streaming import start_serving_refresh, stream_serving_scan
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_serving_equals_batch(spark):
+    mart = marts.fill_missing(marts.actor_mart(Q.credits(spark, SF)))
+    src = scratch_path(spark, "stream-src")
+    halves = mart.randomSplit([0.5, 0.5], seed=7)
+    halves[0].write.parquet(src, mode="append")
+    halves[1].write.parquet(src, mode="append")
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    stream = stream_serving_scan(spark, src, "actor", mart.schema, min_films=2,
+                                 max_files_per_trigger=1)
+    start_serving_refresh(stream, out, ckpt, available_now=True).awaitTermination(120)
+    got = spark.read.parquet(out)
+    want = serving_scan_actor(spark.read.parquet(src), 2)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
