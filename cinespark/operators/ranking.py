@@ -5,7 +5,9 @@ into one task. A dense rank depends only on the set of distinct values, so we
 rank the distinct (partition, value) pairs and join the rank back. If there
 are k distinct values in a partition, at least 1 + 2 + ... + k rows carry
 them when the value is a per-key count, so k <= sqrt(2 * rows): the ranked
-set is tiny next to the rows, and AQE broadcasts it when it measures small.
+set is tiny next to the rows and is broadcast. Joining it by shuffle would
+put every row holding the most common value (a count of 1) in one task.
+Callers pass per-key counts (``nb_film``), which is where the bound holds.
 """
 
 from __future__ import annotations
@@ -32,4 +34,4 @@ def dense_rank_desc(df: DataFrame, value_col: str, partition_cols: list[str] | t
     ranked = (df.select(*keys).distinct()
               .withColumn(rank_col, F.dense_rank().over(
                   Window.partitionBy(*partition_cols).orderBy(F.col(value_col).desc()))))
-    return _null_safe_join(df, ranked, keys)
+    return _null_safe_join(df, F.broadcast(ranked), keys)

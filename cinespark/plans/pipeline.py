@@ -36,8 +36,10 @@ class FilmPipeline:
     # ---------------------------------------------------------- shared parts
     @cached_property
     def credits(self) -> DataFrame:
-        """M1, materialized: read by M7, M8, M9 and the serving tables."""
-        return materialize(marts.credits_base(self.tables, as_of_year=self.as_of_year))
+        """M1 as a Parquet table in the shared folder: read by M7, M8, M9 and
+        the serving tables."""
+        return materialize(marts.credits_base(self.tables, as_of_year=self.as_of_year),
+                           "credits", sort_within=["nconst"])
 
     def movies(self) -> DataFrame:
         """M2 without the final order (a lazy plan; cheap to recompute)."""
@@ -50,18 +52,20 @@ class FilmPipeline:
     @cached_property
     def movie_cast(self) -> DataFrame:
         """M10, materialized: read twice by the one-hot (vocabulary, pivot)."""
-        return materialize(features.movie_cast(self.movies(), self.cast()))
+        return materialize(features.movie_cast(self.movies(), self.cast()), "movie_cast")
 
     @cached_property
     def serving(self) -> sv.Serving:
         """The three serving tables, materialized (the dashboard's snapshot)."""
         return sv.Serving(
-            movies=materialize(sv.serving_scan_movie(marts.movie_mart(self.tables, fill=True))),
+            movies=materialize(sv.serving_scan_movie(marts.movie_mart(self.tables, fill=True)),
+                               "serving_movie", sort_within=["decade", "genre"]),
             actors=materialize(sv.serving_scan_actor(
-                marts.fill_missing(marts.actor_mart(self.credits)), self.serving_actor_min)),
+                marts.fill_missing(marts.actor_mart(self.credits)), self.serving_actor_min),
+                "serving_actor", sort_within=["Nconst", "tconst"]),
             directors=materialize(sv.serving_scan_director(
                 marts.fill_missing(marts.director_mart(self.credits)),
-                self.serving_director_min)))
+                self.serving_director_min), "serving_director", sort_within=["Nconst", "tconst"]))
 
     # ---------------------------------------------------------- job results
     def statistics(self) -> dict[str, DataFrame]:
