@@ -229,11 +229,24 @@ def _credit_counts(credits: DataFrame, by: list[str]) -> DataFrame:
             .drop("_c"))
 
 
-def _finish_person_mart(rows: DataFrame, columns: list[str]) -> DataFrame:
-    rows = rows.withColumnRenamed("nconst", "Nconst")
-    rows = rows.select(*[C.sentinel_to_null(c).alias(c) if c in PERSON_TEXT else F.col(c)
-                         for c in rows.columns])
-    return with_group_count(rows, ["primaryName", "decade"], "film_per_decade").select(*columns)
+def _clean_text(df: DataFrame) -> DataFrame:
+    return df.select(*[C.sentinel_to_null(c).alias(c) if c in PERSON_TEXT else F.col(c)
+                       for c in df.columns])
+
+
+def _finish_person_mart(rows: DataFrame, counted: DataFrame, columns: list[str]) -> DataFrame:
+    """Sentinel -> NULL and ``film_per_decade``.
+
+    ``counted`` holds the same rows as ``rows`` before the per-person ranks
+    were joined on (that join is 1:1), so the name-decade counts are taken
+    from it and the rank branch is not computed a second time.
+    """
+    counts = (_clean_text(counted).filter(F.col("primaryName").isNotNull()
+                                          & F.col("decade").isNotNull())
+              .groupBy("primaryName", "decade")
+              .agg(F.count(F.lit(1)).alias("film_per_decade")))
+    out = _clean_text(rows.withColumnRenamed("nconst", "Nconst"))
+    return out.join(counts, ["primaryName", "decade"], "left").select(*columns)
 
 
 def actor_mart(credits: DataFrame) -> DataFrame:
@@ -246,20 +259,20 @@ def actor_mart(credits: DataFrame) -> DataFrame:
     (homonyms add up; NULL name or decade gives NULL).
 
     Plan: counts and ranks are computed on one row per (person, sex), not
-    per credit; the credit rows meet them in one join on the person id.
+    per credit, and meet the credit rows in one join on the person id. The
+    distinct credit rows are one exchange, shared by that join and by the
+    name-decade counts.
     """
     acting = credits.filter(F.col("category").rlike(ACTING))
     per_person = dense_rank_desc(
         _credit_counts(acting, ["sexe"]).filter(F.col("sexe").isin(0, 1)),
-        "nb_film", ["sexe"])
-    rows = (acting.filter(F.col("sexe").isin(0, 1))
-            .drop("category", "primaryProfession")
-            .join(per_person, ["nconst", "sexe"]))
-    rows = rows.select("nconst", "tconst", "primaryName", "birthYear", "deathYear",
-                       "primaryTitle", "originalTitle", "startYear", "runtimeMinutes",
-                       "genres", "nb_film", "sexe", "age_in_movie", "age", "decade",
-                       F.col("rank").cast("int").alias("rank")).distinct()
-    return _finish_person_mart(rows, ACTOR_COLUMNS)
+        "nb_film", ["sexe"]).withColumn("rank", F.col("rank").cast("int"))
+    base = (acting.filter(F.col("sexe").isin(0, 1))
+            .select("nconst", "tconst", "primaryName", "birthYear", "deathYear",
+                    "primaryTitle", "originalTitle", "startYear", "runtimeMinutes",
+                    "genres", "sexe", "age_in_movie", "age", "decade").distinct())
+    rows = base.join(per_person, ["nconst", "sexe"])
+    return _finish_person_mart(rows, base, ACTOR_COLUMNS)
 
 
 def director_mart(credits: DataFrame) -> DataFrame:
@@ -272,4 +285,5 @@ def director_mart(credits: DataFrame) -> DataFrame:
         "nconst", "tconst", "primaryName", "birthYear", "deathYear", "primaryProfession",
         "primaryTitle", "originalTitle", "startYear", "runtimeMinutes", "genres",
         "age_in_movie", "age", "decade", "nb_film", F.col("rank").cast("int").alias("rank"))
-    return _finish_person_mart(rows, DIRECTOR_COLUMNS)
+    return _finish_person_mart(rows, directing.select("primaryName", "decade"),
+                               DIRECTOR_COLUMNS)

@@ -83,6 +83,11 @@ def materialize(df, name: str = "table", sort_within: list[str] | None = None):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        # a table read from one unsplittable file: spread it once, so every
+        # later scan runs in parallel (never true for a cluster-sized input)
+        df = df.repartition(parallelism)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     df.write.mode("overwrite").parquet(path)
