@@ -6,11 +6,11 @@ a lazy DataFrame. Plan notes are on each function.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinespark.functions import columns as C
-from cinespark.operators.counting import share_of_total, with_group_count
+from cinespark.operators.counting import share_of_total
 from cinespark.operators.ranking import dense_rank_desc
 from cinespark.operators.reshape import explode_items
 from cinespark.plans.catalog import FilmTables
@@ -218,15 +218,16 @@ DIRECTOR_COLUMNS = ["Nconst", "tconst", "primaryName", "birthYear", "deathYear",
                     "rank", "film_per_decade"]
 
 
-def _credit_counts(credits: DataFrame, by: list[str]) -> DataFrame:
-    """Credit rows per (nconst, *by) and ``nb_film`` = rows per nconst.
-
-    Aggregated before the window, so the window groups hold at most a few
-    rows per person however many credits the person has.
-    """
-    return (credits.groupBy("nconst", *by).agg(F.count(F.lit(1)).alias("_c"))
-            .withColumn("nb_film", F.sum("_c").over(Window.partitionBy("nconst")))
-            .drop("_c"))
+def _credit_counts(credits: DataFrame, with_sexe: bool) -> DataFrame:
+    """``nb_film`` = credit rows per person: one partial aggregate, so a
+    prolific person is one row per task before the shuffle. With
+    ``with_sexe`` there is one row per (person, sex code) the person holds;
+    the set of codes has at most two values."""
+    if not with_sexe:
+        return credits.groupBy("nconst").agg(F.count(F.lit(1)).alias("nb_film"))
+    return (credits.groupBy("nconst")
+            .agg(F.count(F.lit(1)).alias("nb_film"), F.collect_set("sexe").alias("_sexes"))
+            .select("nconst", F.explode("_sexes").alias("sexe"), "nb_film"))
 
 
 def _clean_text(df: DataFrame) -> DataFrame:
@@ -265,7 +266,7 @@ def actor_mart(credits: DataFrame) -> DataFrame:
     """
     acting = credits.filter(F.col("category").rlike(ACTING))
     per_person = dense_rank_desc(
-        _credit_counts(acting, ["sexe"]).filter(F.col("sexe").isin(0, 1)),
+        _credit_counts(acting, with_sexe=True).filter(F.col("sexe").isin(0, 1)),
         "nb_film", ["sexe"]).withColumn("rank", F.col("rank").cast("int"))
     base = (acting.filter(F.col("sexe").isin(0, 1))
             .select("nconst", "tconst", "primaryName", "birthYear", "deathYear",
@@ -280,7 +281,7 @@ def director_mart(credits: DataFrame) -> DataFrame:
     decade of the same name (M8). Rows are not deduplicated: two director
     categories in one film give two equal rows."""
     directing = credits.filter(F.col("category").rlike(DIRECTING))
-    per_person = dense_rank_desc(_credit_counts(directing, []), "nb_film", [])
+    per_person = dense_rank_desc(_credit_counts(directing, with_sexe=False), "nb_film", [])
     rows = directing.join(per_person, "nconst").select(
         "nconst", "tconst", "primaryName", "birthYear", "deathYear", "primaryProfession",
         "primaryTitle", "originalTitle", "startYear", "runtimeMinutes", "genres",

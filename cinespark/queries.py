@@ -137,7 +137,11 @@ def q_ml_matrix(spark, sf_dir):
 from cinespark import fixture_params as P  # noqa: E402
 from cinespark.plans import facets  # noqa: E402
 from cinespark.plans.marts import fill_missing  # noqa: E402
-from cinespark.sources.serving import serving_scan_actor, serving_scan_director  # noqa: E402
+from cinespark.sources.serving import (  # noqa: E402
+    serving_scan_actor,
+    serving_scan_director,
+    serving_scan_movie,
+)
 
 
 def serving(spark, sf_dir):
@@ -164,8 +168,8 @@ def _dash(fn, **kw):
 
 G, D, N = P.GENRES, P.DECADES, P.NOTES
 
-QUERIES["serving_scan_movie"] = lambda spark, d: facets.build_serving(
-    tables(spark, d), P.AS_OF_YEAR, P.ACTOR_SERVING_MIN, P.DIRECTOR_SERVING_MIN).movies
+QUERIES["serving_scan_movie"] = lambda spark, d: serving_scan_movie(
+    marts.movie_mart(tables(spark, d), fill=True))
 QUERIES["serving_scan_actor"] = lambda spark, d: serving_scan_actor(
     fill_missing(marts.actor_mart(credits(spark, d))), P.ACTOR_SERVING_MIN)
 QUERIES["serving_scan_director"] = lambda spark, d: serving_scan_director(
@@ -227,7 +231,7 @@ def q_read_tables(spark, sf_dir):
 
 @query("source_check")
 def q_source_check(spark, sf_dir):
-    return check.source_check(spark, FilmTables.from_raw(raw_film_tables(spark, sf_dir)).as_dict())
+    return check.source_check(spark, tables(spark, sf_dir).as_dict())
 
 
 def _genre_csv(spark, sf_dir):

@@ -23,6 +23,7 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.sql.ui.retainedExecutions": "100",
 }
 
 
