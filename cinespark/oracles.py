@@ -368,7 +368,8 @@ def key_numbers_sql(actors=False, directors=False, **facets) -> str:
         age = "max(age)"
     else:
         age = "CAST(NULL AS INTEGER)"
-    return (SERVING_BASE + f"SELECT COUNT(*) AS n_rows, round(avg(averagerating), 2) AS mean_rating, "
+    return (SERVING_BASE + f"SELECT COUNT(*) AS n_rows, format('{{:,}}', COUNT(*)) AS n_rows_label, "
+            f"round(avg(averagerating), 2) AS mean_rating, "
             f"CAST(round_even(avg(runtimeminutes), 0) AS INTEGER) AS mean_runtime, "
             f"{_names(kinds)} AS names, CAST({age} AS INTEGER) AS max_age "
             f"FROM ({facet_films(actors=actors, directors=directors, **facets)})")

@@ -101,8 +101,9 @@ def facet_filter(s: Serving, genres: Sequence[str] | None = None,
 
 def key_numbers(s: Serving, genres=None, decades=None, notes=None,
                 actors: Selection = None, directors: Selection = None) -> DataFrame:
-    """One row: film x genre rows, mean rating (2 digits), mean runtime
-    (whole minutes, half to even), names of the selected people, max age.
+    """One row: film x genre rows (also as text with thousands separators),
+    mean rating (2 digits), mean runtime (whole minutes, half to even),
+    names of the selected people, max age.
 
     Repair: names and age are given for any non-empty selection (the
     reference showed them for directors only and failed for both); with
@@ -138,7 +139,7 @@ def key_numbers(s: Serving, genres=None, decades=None, notes=None,
     for p in parts[1:]:
         rows = rows.unionByName(p)
     label = F.when(F.col("_name").isNotNull(), F.struct("_kind", "_name"))
-    return rows.agg(
+    out = rows.agg(
         F.count("_film").alias("n_rows"),
         F.round(F.avg("averagerating"), 2).alias("mean_rating"),
         F.bround(F.avg("runtimeminutes"), 0).cast("int").alias("mean_runtime"),
@@ -146,6 +147,7 @@ def key_numbers(s: Serving, genres=None, decades=None, notes=None,
                                      lambda x: x["_name"])).alias("names"),
         F.max("_age").cast("int").alias("max_age"),
     )
+    return out.withColumn("n_rows_label", F.format_number("n_rows", 0))
 
 
 # ---------------------------------------------------------------- D3-D5

@@ -212,7 +212,6 @@ QUERIES["facet_options"] = _dash(facets.facet_options)
 
 # ------------------------------------------------------------------ sources and sinks
 
-from cinespark.plans.catalog import FilmTables  # noqa: E402
 from cinespark.session import scratch_path  # noqa: E402
 from cinespark.sources import check, sinks, tsv  # noqa: E402
 from cinespark.sources.fixtures import raw_film_tables  # noqa: E402

@@ -18,7 +18,7 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -27,6 +27,13 @@ SCALE_CONF = {
 }
 
 
+# Initial shuffle partitions on a cluster. AQE only coalesces (and splits
+# skewed join partitions), so the start must be fine enough for the largest
+# shuffle: ~2 TB of shuffle data at the 256 MB advisory size. Small stages
+# are coalesced back at runtime.
+CLUSTER_SHUFFLE_PARTITIONS = 8192
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "cinespark", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the package's scale settings.
@@ -39,8 +46,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or CLUSTER_SHUFFLE_PARTITIONS)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
