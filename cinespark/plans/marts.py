@@ -239,15 +239,20 @@ def _finish_person_mart(rows: DataFrame, counted: DataFrame, columns: list[str])
     """Sentinel -> NULL and ``film_per_decade``.
 
     ``counted`` holds the same rows as ``rows`` before the per-person ranks
-    were joined on (that join is 1:1), so the name-decade counts are taken
-    from it and the rank branch is not computed a second time.
+    were joined on (that join is 1:1), so the name-decade counts come from
+    it. The counts are joined null-safe and NULL keys are blanked after: a
+    plain equi-join would push inferred IS NOT NULL filters into the shared
+    subplan, so the two branches would no longer share one exchange.
     """
-    counts = (_clean_text(counted).filter(F.col("primaryName").isNotNull()
-                                          & F.col("decade").isNotNull())
-              .groupBy("primaryName", "decade")
-              .agg(F.count(F.lit(1)).alias("film_per_decade")))
+    counts = (_clean_text(counted).groupBy("primaryName", "decade")
+              .agg(F.count(F.lit(1)).alias("film_per_decade"))
+              .withColumnRenamed("primaryName", "_n").withColumnRenamed("decade", "_d"))
     out = _clean_text(rows.withColumnRenamed("nconst", "Nconst"))
-    return out.join(counts, ["primaryName", "decade"], "left").select(*columns)
+    joined = out.join(counts, out["primaryName"].eqNullSafe(counts["_n"])
+                      & out["decade"].eqNullSafe(counts["_d"]), "left")
+    known = F.col("primaryName").isNotNull() & F.col("decade").isNotNull()
+    return joined.withColumn("film_per_decade",
+                             F.when(known, F.col("film_per_decade"))).select(*columns)
 
 
 def actor_mart(credits: DataFrame) -> DataFrame:
@@ -264,11 +269,13 @@ def actor_mart(credits: DataFrame) -> DataFrame:
     distinct credit rows are one exchange, shared by that join and by the
     name-decade counts.
     """
-    acting = credits.filter(F.col("category").rlike(ACTING))
+    # credits never hold a NULL person id; stating it makes every branch
+    # below start from the same filtered scan, so their exchanges are shared
+    acting = credits.filter(F.col("category").rlike(ACTING) & F.col("nconst").isNotNull())
     per_person = dense_rank_desc(
         _credit_counts(acting, with_sexe=True).filter(F.col("sexe").isin(0, 1)),
         "nb_film", ["sexe"]).withColumn("rank", F.col("rank").cast("int"))
-    base = (acting.filter(F.col("sexe").isin(0, 1))
+    base = (acting.filter(F.col("sexe").isin(0, 1) & F.col("sexe").isNotNull())
             .select("nconst", "tconst", "primaryName", "birthYear", "deathYear",
                     "primaryTitle", "originalTitle", "startYear", "runtimeMinutes",
                     "genres", "sexe", "age_in_movie", "age", "decade").distinct())
@@ -280,7 +287,7 @@ def director_mart(credits: DataFrame) -> DataFrame:
     """Director credits with film count, one global dense rank and films per
     decade of the same name (M8). Rows are not deduplicated: two director
     categories in one film give two equal rows."""
-    directing = credits.filter(F.col("category").rlike(DIRECTING))
+    directing = credits.filter(F.col("category").rlike(DIRECTING) & F.col("nconst").isNotNull())
     per_person = dense_rank_desc(_credit_counts(directing, with_sexe=False), "nb_film", [])
     rows = directing.join(per_person, "nconst").select(
         "nconst", "tconst", "primaryName", "birthYear", "deathYear", "primaryProfession",
