@@ -74,38 +74,35 @@ def _nn(c: str, alias: str | None = None) -> str:
 
 CREDITS_CTE = f"""
 credits AS (
-  SELECT DISTINCT TP.nconst AS nconst, TB.tconst AS tconst, primaryName, birthYear, deathYear,
-         primaryTitle, originalTitle, startYear, runtimeMinutes, genres, category, primaryProfession,
-         CASE WHEN category = 'actor' THEN 0 WHEN category = 'actress' THEN 1 END AS sexe,
-         CASE WHEN deathYear > 0 THEN deathYear - birthYear ELSE {AS_OF_YEAR} - birthYear END AS age,
-         startYear - birthYear AS age_in_movie,
-         {_decade('startYear')} AS decade
-  FROM tb AS TB JOIN ta AS TA ON TB.tconst = TA.titleId
-       JOIN tp AS TP ON TA.titleId = TP.tconst
-       JOIN nb AS NB ON TP.nconst = NB.nconst
-  WHERE regexp_matches(category, '(director|actor|actress)')
-    AND NOT regexp_matches(primaryProfession, '(cinematographer|miscellaneous)')
-    AND titleType = 'movie' AND region = 'FR' AND isAdult = 0)"""
-
-_MG_COLS = "tconst, primaryTitle, originalTitle, startYear, decade, runtimeMinutes, genres, averageRating, numVotes"
-
-
-def _movie_branch(i: int) -> str:
-    g = f"string_split(genres, ',')[{i}]"
-    return (f"SELECT {_MG_COLS}, {g} AS genre FROM final_tab "
-            f"WHERE {g} IS NOT NULL AND {g} <> 'Adult'")
-
+  SELECT DISTINCT p.nconst, b.tconst, n.primaryName, n.birthYear, n.deathYear,
+         b.primaryTitle, b.originalTitle, b.startYear, b.runtimeMinutes, b.genres, p.category,
+         n.primaryProfession,
+         CASE p.category WHEN 'actor' THEN 0 WHEN 'actress' THEN 1 END AS sexe,
+         CASE WHEN n.deathYear > 0 THEN n.deathYear - n.birthYear
+              ELSE {AS_OF_YEAR} - n.birthYear END AS age,
+         b.startYear - n.birthYear AS age_in_movie,
+         {_decade('b.startYear')} AS decade
+  FROM tp AS p
+  JOIN tb AS b ON b.tconst = p.tconst
+  JOIN ta AS a ON a.titleId = b.tconst
+  JOIN nb AS n ON n.nconst = p.nconst
+  WHERE a.region = 'FR' AND b.titleType = 'movie' AND b.isAdult = 0
+    AND regexp_matches(p.category, '(director|actor|actress)')
+    AND NOT regexp_matches(n.primaryProfession, '(cinematographer|miscellaneous)'))"""
 
 MOVIE_GENRE_CTE = f"""
-final_tab AS (
-  SELECT DISTINCT TB.tconst, primaryTitle, originalTitle, startYear, runtimeMinutes, genres,
-         averageRating, numVotes, {_decade('startYear')} AS decade
-  FROM tb AS TB JOIN ta AS TA ON TB.tconst = TA.titleId JOIN tr AS TR ON TB.tconst = TR.tconst
-  WHERE region = 'FR' AND titleType = 'movie' AND isAdult = 0 AND runtimeMinutes <= 300),
+fr_rated AS (
+  SELECT DISTINCT b.tconst, b.primaryTitle, b.originalTitle, b.startYear, b.runtimeMinutes,
+         b.genres, r.averageRating, r.numVotes, {_decade('b.startYear')} AS decade
+  FROM tb AS b JOIN ta AS a ON a.titleId = b.tconst JOIN tr AS r ON r.tconst = b.tconst
+  WHERE a.region = 'FR' AND b.titleType = 'movie' AND b.isAdult = 0 AND b.runtimeMinutes <= 300),
 movie_genre AS (
-  {_movie_branch(1)}
-  UNION {_movie_branch(2)}
-  UNION {_movie_branch(3)})"""
+  SELECT DISTINCT f.tconst, f.primaryTitle, f.originalTitle, f.startYear, f.decade,
+         f.runtimeMinutes, f.genres, f.averageRating, f.numVotes,
+         string_split(f.genres, ',')[pos.i] AS genre
+  FROM fr_rated AS f, range(1, 4) AS pos(i)
+  WHERE string_split(f.genres, ',')[pos.i] IS NOT NULL
+    AND string_split(f.genres, ',')[pos.i] <> 'Adult')"""
 
 MOVIE_MART_CTE = f"""
 movie_mart AS (
@@ -121,61 +118,45 @@ movie_filled AS (
          COALESCE(numvotes, -9999) AS numvotes, COALESCE(genre, '-9999') AS genre
   FROM movie_mart)"""
 
-_ACT_COLS = ("Nconst, tconst, primaryName, birthYear, deathYear, primaryTitle, originalTitle, "
-             "startYear, runtimeMinutes, genres, nb_film, sexe, age_in_movie, age, decade")
-
 ACTOR_MART_CTE = f"""
-actor_final AS (
-  SELECT nconst AS Nconst, tconst, primaryName, birthYear, deathYear, primaryTitle, originalTitle,
-         startYear, runtimeMinutes, genres, sexe, age_in_movie, age, decade,
-         COUNT(tconst) OVER (PARTITION BY nconst) AS nb_film
+acting AS (
+  SELECT *, COUNT(*) OVER (PARTITION BY nconst) AS nb_film
   FROM credits WHERE regexp_matches(category, 'actor|actress')),
 actor_ranked AS (
-  SELECT {_ACT_COLS}, CAST(DENSE_RANK() OVER (ORDER BY nb_film DESC) AS INTEGER) AS rank
-  FROM actor_final WHERE sexe = 0
-  UNION
-  SELECT {_ACT_COLS}, CAST(DENSE_RANK() OVER (ORDER BY nb_film DESC) AS INTEGER) AS rank
-  FROM actor_final WHERE sexe = 1),
-actor_clean AS (
-  SELECT Nconst, tconst, {_nn('primaryName')}, birthYear, deathYear, {_nn('primaryTitle')},
-         {_nn('originalTitle')}, startYear, runtimeMinutes, {_nn('genres')}, nb_film, sexe,
-         age_in_movie, age, decade, rank
-  FROM actor_ranked),
+  SELECT DISTINCT nconst AS Nconst, tconst, {_nn('primaryName')}, birthYear, deathYear,
+         {_nn('primaryTitle')}, {_nn('originalTitle')}, startYear, runtimeMinutes, {_nn('genres')},
+         nb_film, sexe, age_in_movie, age, decade,
+         CAST(DENSE_RANK() OVER (PARTITION BY sexe ORDER BY nb_film DESC) AS INTEGER) AS rank
+  FROM acting WHERE sexe IN (0, 1)),
 actor_mart AS (
   SELECT *, CASE WHEN primaryName IS NOT NULL AND decade IS NOT NULL
                  THEN COUNT(*) OVER (PARTITION BY primaryName, decade) END AS film_per_decade
-  FROM actor_clean)"""
+  FROM actor_ranked)"""
 
 DIRECTOR_MART_CTE = f"""
-director_final AS (
-  SELECT nconst AS Nconst, tconst, primaryName, birthYear, deathYear, primaryProfession,
-         primaryTitle, originalTitle, startYear, runtimeMinutes, genres, age_in_movie, age, decade,
-         COUNT(tconst) OVER (PARTITION BY nconst) AS nb_film
+directing AS (
+  SELECT nconst AS Nconst, tconst, {_nn('primaryName')}, birthYear, deathYear,
+         {_nn('primaryProfession')}, {_nn('primaryTitle')}, {_nn('originalTitle')}, startYear,
+         runtimeMinutes, {_nn('genres')}, age_in_movie, age, decade,
+         COUNT(*) OVER (PARTITION BY nconst) AS nb_film
   FROM credits WHERE regexp_matches(category, 'director')),
-director_clean AS (
-  SELECT Nconst, tconst, {_nn('primaryName')}, birthYear, deathYear, {_nn('primaryProfession')},
-         {_nn('primaryTitle')}, {_nn('originalTitle')}, startYear, runtimeMinutes, {_nn('genres')},
-         age_in_movie, age, decade, nb_film,
-         CAST(DENSE_RANK() OVER (ORDER BY nb_film DESC) AS INTEGER) AS rank
-  FROM director_final),
 director_mart AS (
-  SELECT *, CASE WHEN primaryName IS NOT NULL AND decade IS NOT NULL
-                 THEN COUNT(*) OVER (PARTITION BY primaryName, decade) END AS film_per_decade
-  FROM director_clean)"""
-
-
-def _genre_branch(i: int) -> str:
-    return (f"SELECT TR.tconst, averageRating, numVotes, string_split(genres, ',')[{i}] AS genre, "
-            f"runtimeMinutes FROM tb AS TB JOIN tr AS TR ON TB.tconst = TR.tconst "
-            f"WHERE runtimeMinutes > 0")
-
-
-GENRE_STATS_CTE = f"""
-genre_rows AS ({_genre_branch(1)} UNION {_genre_branch(2)} UNION {_genre_branch(3)}),
+  SELECT *, CAST(DENSE_RANK() OVER (ORDER BY nb_film DESC) AS INTEGER) AS rank,
+         CASE WHEN primaryName IS NOT NULL AND decade IS NOT NULL
+              THEN COUNT(*) OVER (PARTITION BY primaryName, decade) END AS film_per_decade
+  FROM directing)"""
+
+
+GENRE_STATS_CTE = """
+genre_items AS (
+  SELECT DISTINCT r.tconst, r.averageRating, r.numVotes,
+         string_split(b.genres, ',')[pos.i] AS genre, b.runtimeMinutes
+  FROM tb AS b JOIN tr AS r ON r.tconst = b.tconst, range(1, 4) AS pos(i)
+  WHERE b.runtimeMinutes > 0),
 genre_stats AS (
   SELECT genre, round(avg(runtimeMinutes), 2) AS runtimeminutes,
          round(avg(averageRating), 2) AS averagerating, round(avg(numVotes), 2) AS numvotes
-  FROM genre_rows WHERE genre IS NOT NULL GROUP BY genre)"""
+  FROM genre_items WHERE genre IS NOT NULL GROUP BY genre)"""
 
 
 def with_ctes(*ctes: str) -> str:
@@ -189,19 +170,20 @@ ORACLES["credits_base"] = with_ctes(CREDITS_CTE) + "SELECT * FROM credits"
 ORACLES["movie_genre"] = with_ctes(MOVIE_GENRE_CTE) + "SELECT * FROM movie_genre ORDER BY tconst"
 
 ORACLES["stat_global"] = with_ctes() + """
-SELECT total_contenu, total_contenu_region, total_movie, total_movie_fr
-FROM (SELECT COUNT(tconst) AS total_contenu FROM tb) AS TB_T,
-     (SELECT COUNT(titleId) AS total_contenu_region, region FROM ta WHERE region = 'FR' GROUP BY region) AS TA_R,
-     (SELECT COUNT(tconst) AS total_movie FROM tb WHERE titleType = 'movie') AS TB_M,
-     (SELECT COUNT(tconst) AS total_movie_fr FROM tb JOIN ta ON tconst = titleId
-      WHERE titleType = 'movie' AND region = 'FR') AS TA_TB_M_FR"""
+SELECT (SELECT COUNT(tconst) FROM tb) AS total_contenu,
+       fr.n AS total_contenu_region,
+       (SELECT COUNT(tconst) FROM tb WHERE titleType = 'movie') AS total_movie,
+       (SELECT COUNT(b.tconst) FROM tb AS b JOIN ta AS a ON a.titleId = b.tconst
+        WHERE b.titleType = 'movie' AND a.region = 'FR') AS total_movie_fr
+FROM (SELECT region, COUNT(titleId) AS n FROM ta WHERE region = 'FR' GROUP BY region) AS fr"""
 
 ORACLES["genre_stats"] = with_ctes(GENRE_STATS_CTE) + "SELECT * FROM genre_stats ORDER BY genre"
 
-ORACLES["content_share"] = with_ctes() + """
-SELECT DISTINCT titleType,
-       round((COUNT(tconst) OVER (PARTITION BY titleType)) / COUNT(tconst) OVER () * 100, 6) AS percent
-FROM tb GROUP BY titleType, tconst ORDER BY percent DESC"""
+ORACLES["content_share"] = with_ctes() + """,
+type_pairs AS (SELECT DISTINCT titleType, tconst FROM tb),
+per_type AS (SELECT titleType, COUNT(tconst) AS n FROM type_pairs GROUP BY titleType)
+SELECT titleType, round(n / (SELECT SUM(n) FROM per_type) * 100, 6) AS percent
+FROM per_type ORDER BY percent DESC"""
 
 ORACLES["movie_mart"] = with_ctes(MOVIE_GENRE_CTE, MOVIE_MART_CTE) + "SELECT * FROM movie_filled"
 
@@ -216,17 +198,17 @@ ACTOR_MIN_FIXTURE = 5
 DIRECTOR_MIN_FIXTURE = 3
 
 CAST_CTE = f"""
-cd_final AS (
-  SELECT nconst, tconst, primaryName, category, COUNT(tconst) OVER (PARTITION BY nconst) AS nb_film
+recent AS (
+  SELECT tconst, primaryName, category, COUNT(*) OVER (PARTITION BY nconst) AS nb_film
   FROM credits WHERE startYear > 1970),
 cast_distribution AS (
-  SELECT tconst, primaryName, nb_film FROM cd_final
+  SELECT tconst, primaryName, nb_film FROM recent
   WHERE (regexp_matches(category, '(actor|actress)') AND nb_film >= {ACTOR_MIN_FIXTURE})
      OR (regexp_matches(category, 'director') AND nb_film >= {DIRECTOR_MIN_FIXTURE})),
 movie_cast AS (
-  SELECT DSM.tconst, primaryName, primaryTitle, originalTitle, genres, startYear, decade,
-         runtimeMinutes, averageRating, numVotes, genre
-  FROM movie_genre AS DSM LEFT JOIN cast_distribution AS D_D ON DSM.tconst = D_D.tconst)"""
+  SELECT m.tconst, c.primaryName, m.primaryTitle, m.originalTitle, m.genres, m.startYear,
+         m.decade, m.runtimeMinutes, m.averageRating, m.numVotes, m.genre
+  FROM movie_genre AS m LEFT JOIN cast_distribution AS c ON c.tconst = m.tconst)"""
 
 ML_KEYS_SQL = ("tconst, primarytitle, originaltitle, genres, startyear, decade, runtimeminutes, "
                "averagerating, numvotes")
