@@ -2,9 +2,9 @@
 
 Each text derives the film tables from the star-schema views the checker
 registers (same derivation as ``sources/fixtures.py``), types them, and then
-states the job the plain way: window counts, UNION of item positions, cross
-join of one-row subqueries. The Spark plans compute the same results by other
-routes, so the two are an independent check of each other.
+states the job in plain SQL: window counts over all rows, item positions
+from a ``range``, scalar subqueries, a dynamic ``PIVOT``. The Spark plans
+compute the same results by other routes, so the two check each other.
 """
 
 from __future__ import annotations
@@ -396,6 +396,7 @@ ORACLES["facet_filter"] = SERVING_BASE + facet_films(G, D, N)
 ORACLES["facet_filter_actors"] = SERVING_BASE + facet_films(actors=True)
 ORACLES["facet_filter_directors"] = SERVING_BASE + facet_films(directors=True)
 ORACLES["facet_filter_both"] = SERVING_BASE + facet_films(actors=True, directors=True)
+ORACLES["facet_filter_empty"] = SERVING_BASE + facet_films()
 
 ORACLES["key_numbers"] = key_numbers_sql()
 ORACLES["key_numbers_actors"] = key_numbers_sql(actors=True)

@@ -179,6 +179,8 @@ QUERIES["facet_filter"] = _dash(facets.facet_filter, genres=G, decades=D, notes=
 QUERIES["facet_filter_actors"] = _dash(facets.facet_filter, sel_actors=True)
 QUERIES["facet_filter_directors"] = _dash(facets.facet_filter, sel_directors=True)
 QUERIES["facet_filter_both"] = _dash(facets.facet_filter, sel_actors=True, sel_directors=True)
+QUERIES["facet_filter_empty"] = _dash(facets.facet_filter, genres=[], decades=[], notes=[],
+                                      actors=[], directors=[])
 
 QUERIES["key_numbers"] = _dash(facets.key_numbers)
 QUERIES["key_numbers_actors"] = _dash(facets.key_numbers, sel_actors=True)
