@@ -65,11 +65,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         try:
             base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - Spark Connect has no context
+        except Exception:  # Spark Connect has no SparkContext
             base = None
     if not base:
         base = tempfile.mkdtemp(prefix="cinespark-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # Spark Connect: the folder is only used for Parquet
+            pass
     return base.rstrip("/")
 
 
@@ -90,8 +93,12 @@ def materialize(df, name: str = "table", sort_within: list[str] | None = None):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        few = df.rdd.getNumPartitions() < parallelism
+    except Exception:  # Spark Connect: no partition count on the client
+        few = False
+    if few:
         # a table read from one unsplittable file: spread it once, so every
         # later scan runs in parallel (never true for a cluster-sized input)
         df = df.repartition(parallelism)
