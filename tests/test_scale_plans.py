@@ -81,3 +81,42 @@ def test_hot_person_holding_a_third_of_all_credits(spark):
         got.sort_values(key).reset_index(drop=True).astype("int64", errors="ignore"),
         want.sort_values(key).reset_index(drop=True).astype("int64", errors="ignore"),
         check_dtype=False)
+
+
+@pytest.fixture()
+def skew_conf(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_hot_person_join_is_split_at_runtime(spark, skew_conf):
+    """The per-person count joined back to the credits: AQE splits the
+    partition of a person holding most credit rows."""
+    from cinespark.plans import features
+
+    titles = [title(f"tt{i:05d}", year="1990") for i in range(3000)]
+    principals = [(f"tt{i:05d}", "nm00000", "actor") for i in range(2000)]
+    principals += [(f"tt{i:05d}", f"nm{1 + i % 50:05d}", "actor") for i in range(2000, 3000)]
+    people = [person(f"nm{i:05d}") for i in range(51)]
+    t = film_tables(spark, title_basics=titles, title_akas=[(x[0], "FR") for x in titles],
+                    title_ratings=[(x[0], "6.0", "5") for x in titles],
+                    title_principals=principals, name_basics=people)
+    df = features.cast_distribution(marts.credits_base(t), actor_min=1, director_min=1)
+    rows = df.collect()
+    assert len(rows) == 3000
+    assert {r["nb_film"] for r in rows if r["primaryName"] == "P nm00000"} == {2000}
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final and "skew=true" in final
