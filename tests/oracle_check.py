@@ -1,6 +1,6 @@
 """Run a query key in Spark and its oracle in DuckDB; compare the results.
 
-Comparison: same column names, same row count, same multiset of rows after
+Comparison: same column names and types, same row count, same multiset of rows after
 sorting columns by name (order-insensitive), floats compared exactly after
 ``repr``. Usable as a script: ``python tests/oracle_check.py [sf_dir] [keys]``.
 """
@@ -14,6 +14,8 @@ import time
 import duckdb
 
 STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN"}
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -46,10 +48,12 @@ def compare(spark, con, key, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = dict(sdf.dtypes)
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
+    d_types = {d[0]: str(d[1]) for d in res.description}
     d_rows = res.fetchall()
     out = {"key": key, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "spark_sec": round(t1 - t0, 2)}
@@ -57,6 +61,12 @@ def compare(spark, con, key, fn, sql, sf_dir):
         out["ok"] = False
         out["why"] = f"columns {sorted(s_cols)} vs {sorted(d_cols)}"
         return out
+    wrong = {c: (s_types[c], d_types[c]) for c in s_cols
+             if DUCK_TYPES.get(s_types[c], s_types[c]) != d_types[c]}
+    if wrong:
+        out["ok"] = False
+        out["why"] = f"types {wrong}"
+        return out
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     out["ok"] = a == b
     if not out["ok"]:
