@@ -33,6 +33,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--out", required=True, help="output folder")
     p.add_argument("--name", default="df_movie", help="name of the ML output")
     p.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    p.add_argument("--ml-layout", default="wide", choices=["wide", "long"],
+                   help="one column per feature, or one row per (film, feature)")
     p.add_argument("--as-of-year", type=int, default=marts.AS_OF_YEAR)
     p.add_argument("--actor-min", type=int, default=features.ACTOR_MIN)
     p.add_argument("--director-min", type=int, default=features.DIRECTOR_MIN)
@@ -59,7 +61,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     if args.run in ("statistics", "both"):
         out.update(pipe.write_statistics(args.out, fmt=args.format))
     if args.run in ("ml", "both"):
-        out["ml"] = pipe.write_ml(args.out, args.name)
+        out["ml"] = pipe.write_ml(args.out, args.name, layout=args.ml_layout)
     return out
 
 

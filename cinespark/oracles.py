@@ -456,3 +456,20 @@ SELECT genre, replace(CAST(runtimeminutes AS VARCHAR), '.', ',') AS runtimeminut
 FROM genre_stats"""
 
 ORACLES["decimal_comma_cast"] = with_ctes(GENRE_STATS_CTE) + "SELECT * FROM genre_stats"
+
+ORACLES["ml_matrix_long"] = with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE, ML_ROWS_CTE) + f"""
+, ml_feats AS (
+  SELECT DISTINCT f.*, x.feature
+  FROM ml_films AS f
+  JOIN (SELECT {ML_KEYS_SQL}, {_fname('genre')} AS feature FROM ml_rows
+        UNION ALL SELECT {ML_KEYS_SQL}, {_fname('primaryname')} FROM ml_rows) AS x
+    USING ({ML_KEYS_SQL})
+  WHERE x.feature IS NOT NULL)
+SELECT * FROM ml_feats
+UNION ALL
+SELECT f.*, CAST(NULL AS VARCHAR) AS feature FROM ml_films AS f
+WHERE NOT EXISTS (SELECT 1 FROM ml_feats AS m WHERE m.tconst = f.tconst
+                  AND m.primarytitle = f.primarytitle AND m.originaltitle = f.originaltitle
+                  AND m.genres = f.genres AND m.startyear = f.startyear AND m.decade = f.decade
+                  AND m.runtimeminutes = f.runtimeminutes AND m.averagerating = f.averagerating
+                  AND m.numvotes = f.numvotes)"""

@@ -92,3 +92,19 @@ def ml_onehot(movie_cast_rows: DataFrame, features: tuple[str, ...] = ("genre",
         vocabulary = _vocabulary(pairs, "feature")
     return one_hot(_keys_known(pairs), ML_KEYS, "feature", vocabulary)
 
+
+
+def ml_onehot_long(movie_cast_rows: DataFrame,
+                   features: tuple[str, ...] = ("genre", "name")) -> DataFrame:
+    """The M11 matrix in long (sparse) layout: one row per (film keys,
+    feature) whose column would hold 1, and one row with a NULL feature for
+    a film whose columns are all 0. Same information as ``ml_onehot``, but
+    its width does not grow with the vocabulary (tens of thousands of names
+    at full scale), and no vocabulary is collected."""
+    rows = _ml_rows(movie_cast_rows)
+    pairs = _keys_known(reduce(DataFrame.unionByName, [
+        rows.select(*ML_KEYS, F.col(f"{f}_feature").alias("feature")) for f in features]))
+    hits = pairs.where(F.col("feature").isNotNull()).distinct()
+    empty = (pairs.groupBy(*ML_KEYS).agg(F.count("feature").alias("_n"))
+             .where(F.col("_n") == 0).select(*ML_KEYS, F.lit(None).cast("string").alias("feature")))
+    return hits.unionByName(empty)

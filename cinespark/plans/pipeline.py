@@ -97,9 +97,14 @@ class FilmPipeline:
             out[name] = p
         return out
 
-    def write_ml(self, path: str, name: str = "df_movie") -> str:
+    def write_ml(self, path: str, name: str = "df_movie", layout: str = "wide") -> str:
+        """The ML matrix as CSV with ``;``. ``layout="long"`` writes one row
+        per (film, feature) instead of one column per feature, for a
+        vocabulary too wide for columns."""
         p = f"{path.rstrip('/')}/{name}"
-        csv_sink(self.ml_matrix(), p, sep=";", decimal_comma=False)
+        df = (self.ml_matrix() if layout == "wide"
+              else features.ml_onehot_long(self.movie_cast, ("genre", "name")))
+        csv_sink(df, p, sep=";", decimal_comma=False, fill=layout == "wide")
         return p
 
 

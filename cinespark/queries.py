@@ -132,6 +132,11 @@ def q_ml_matrix(spark, sf_dir):
     return pipeline(spark, sf_dir).ml_matrix()
 
 
+@query("ml_matrix_long")
+def q_ml_matrix_long(spark, sf_dir):
+    return features.ml_onehot_long(pipeline(spark, sf_dir).movie_cast, ("genre", "name"))
+
+
 # ------------------------------------------------------------------ serving + dashboard
 
 from cinespark import fixture_params as P  # noqa: E402

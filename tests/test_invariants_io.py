@@ -144,3 +144,15 @@ def test_command_line_batch_run(spark):
     assert len(genre) == len(want)
     assert {r["genre"]: r["averagerating"] for r in genre} == {
         r["genre"]: str(r["averagerating"]).replace(".", ",") for r in want}
+
+
+def test_ml_long_layout_pivots_back_to_the_wide_matrix(spark):
+    p = FilmPipeline(load_film_tables(spark, "/root/testdata/sf0.001"), actor_min=5,
+                     director_min=3)
+    wide = p.ml_matrix()
+    long = features.ml_onehot_long(p.movie_cast)
+    feats = [c for c in wide.columns if c not in features.ML_KEYS]
+    back = (long.groupBy(*features.ML_KEYS).pivot("feature", feats).agg(F.max(F.lit(1)))
+            .na.fill(0, subset=feats).select(*wide.columns))
+    assert back.count() == wide.count()
+    assert back.exceptAll(wide).count() == 0 and wide.exceptAll(back).count() == 0
