@@ -156,3 +156,18 @@ def test_ml_long_layout_pivots_back_to_the_wide_matrix(spark):
             .na.fill(0, subset=feats).select(*wide.columns))
     assert back.count() == wide.count()
     assert back.exceptAll(wide).count() == 0 and wide.exceptAll(back).count() == 0
+
+
+def test_tsv_to_parquet_conversion_keeps_types_and_rows(spark):
+    from cinespark.sources.fixtures import raw_film_tables
+
+    src = scratch_path(spark, "conv-src")
+    for name, df in raw_film_tables(spark, "/root/testdata/sf0.001").items():
+        tsv.write_raw_tsv(df, f"{src}/{name.replace('_', '.', 1)}.tsv.gz")
+    t = tsv.read_tables(spark, src, partitions=4, register=False)
+    paths = tsv.to_parquet(t, scratch_path(spark, "conv-out"))
+    for name, path in paths.items():
+        back = spark.read.parquet(path)
+        orig = getattr(t, name)
+        assert back.dtypes == orig.dtypes
+        assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
