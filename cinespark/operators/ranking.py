@@ -27,11 +27,16 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 def dense_rank_desc(df: DataFrame, value_col: str, partition_cols: list[str] | tuple = (),
-                    rank_col: str = "rank") -> DataFrame:
+                    rank_col: str = "rank", counts: bool = True) -> DataFrame:
     """Attach the dense rank of ``value_col`` (largest first) within
-    ``partition_cols`` to every row of ``df``."""
+    ``partition_cols`` to every row of ``df``.
+
+    ``counts=True`` states that the values are per-key counts, which bounds
+    the ranked set (see above) and allows the broadcast; with other values
+    the join is left to AQE, which broadcasts only what measures small.
+    """
     keys = list(partition_cols) + [value_col]
     ranked = (df.select(*keys).distinct()
               .withColumn(rank_col, F.dense_rank().over(
                   Window.partitionBy(*partition_cols).orderBy(F.col(value_col).desc()))))
-    return _null_safe_join(df, F.broadcast(ranked), keys)
+    return _null_safe_join(df, F.broadcast(ranked) if counts else ranked, keys)
