@@ -1,6 +1,5 @@
 """Every registered query equals its DuckDB oracle (sf0.001 fixture tables)."""
 
-import duckdb
 import pytest
 
 import __spark_entry__ as E
