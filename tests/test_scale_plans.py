@@ -120,3 +120,21 @@ def test_hot_person_join_is_split_at_runtime(spark, skew_conf):
     assert {r["nb_film"] for r in rows if r["primaryName"] == "P nm00000"} == {2000}
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in final and "skew=true" in final
+
+
+def test_no_registered_plan_has_a_cross_join(spark):
+    """Every join of every registered query is an equi-join: no cartesian
+    product and no nested-loop join, even with broadcasts off."""
+    bad = {}
+    q = E.queries()
+    for key in q:
+        df = q[key](spark, SF)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = _plan(df)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        found = [w for w in ("CartesianProduct", "NestedLoopJoin") if w in plan]
+        if found:
+            bad[key] = found
+    assert bad == {}
