@@ -138,3 +138,12 @@ def test_no_registered_plan_has_a_cross_join(spark):
         if found:
             bad[key] = found
     assert bad == {}
+
+
+def test_materialized_tables_live_in_the_configured_checkpoint_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    stored = [*Q.tables(spark, SF).as_dict().values(), Q.credits(spark, SF)]
+    for df in stored:
+        files = df.inputFiles()
+        assert files and all(f.split(":", 1)[-1].lstrip("/").startswith(base.lstrip("/"))
+                             for f in files)
