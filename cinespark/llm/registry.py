@@ -1,11 +1,13 @@
 """Query keys of this subpackage and their DuckDB SQL."""
 
-from cinespark.llm import quality_rules
+from cinespark.llm import decontaminate, quality_rules
 
 QUERIES = {
+    "op4_suffix_search": decontaminate.op4_suffix_search,
     "op6_line_rules": quality_rules.op6_line_rules,
 }
 
 ORACLES = {
+    "op4_suffix_search": decontaminate.ORACLE,
     "op6_line_rules": quality_rules.ORACLE,
 }
