@@ -1,10 +1,11 @@
 """Query keys of this subpackage and their DuckDB SQL."""
 
-from cinespark.llm import decontaminate, quality_rules, suffix_dedup
+from cinespark.llm import decontaminate, jaccard_join, quality_rules, suffix_dedup
 
 QUERIES = {
     "op4_suffix_search": decontaminate.op4_suffix_search,
     "op6_line_rules": quality_rules.op6_line_rules,
+    "op7_bayes_join": jaccard_join.op7_bayes_join,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
