@@ -33,7 +33,7 @@ def stored(df: DataFrame) -> DataFrame:
     """Write once as Parquet in the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch_dir(spark)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,13 @@
 """Query keys of this subpackage and their DuckDB SQL."""
 
-from cinespark.llm import decontaminate, jaccard_join, quality_rules, suffix_dedup
+from cinespark.llm import decontaminate, huffman_ids, jaccard_join, packing, quality_rules, suffix_dedup
 
 QUERIES = {
+    "op3_huffman_ids": huffman_ids.op3_huffman_ids,
     "op4_suffix_search": decontaminate.op4_suffix_search,
     "op6_line_rules": quality_rules.op6_line_rules,
     "op7_bayes_join": jaccard_join.op7_bayes_join,
+    "op9_hilbert_pack": packing.op9_hilbert_pack,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
