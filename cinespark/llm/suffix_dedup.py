@@ -39,6 +39,7 @@ WINDOW = 50
 GRAM = 24
 GROUP_BYTES = 16 << 20
 SHARD = 1 << 20
+SALTS = 32                # parts of a group of copies in the join that tells them
 
 
 def _window_anchors(buf: np.ndarray) -> np.ndarray:
@@ -282,8 +283,10 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     base = docs.select(*(F.col(f"`{c}`") for c in carried), F.coalesce("doc_id", F.lit(LAST)).alias("_ord"),
                        text.alias("_text"), F.md5(text).alias("_digest"))
     # the least document of each text; narrow rows only
-    firsts = base.groupBy("_digest").agg(F.min("_ord").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    copies = (base.select("_ord", "_digest").join(firsts, "_digest").filter("_ord > _first")
+    firsts = base.groupBy("_digest").agg(F.min("_ord").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select(
+        "_digest", "_first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salted = base.select("_ord", "_digest", F.pmod(F.xxhash64("_ord"), F.lit(SALTS)).cast("int").alias("_salt"))
+    copies = (salted.join(firsts, ["_digest", "_salt"]).filter("_ord > _first")
               .select(F.col("_ord").alias("copy_ord"), F.col("_digest").alias("copy_digest")).distinct())
     dealt = base.withColumn("_pid", F.pmod(F.xxhash64("_ord"), F.lit(groups))).groupBy("_pid")
     marked = copies.select(F.pmod(F.xxhash64("copy_ord"), F.lit(groups)).alias("pid"), "copy_ord", "copy_digest")
