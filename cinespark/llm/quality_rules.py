@@ -24,8 +24,9 @@ BOILERPLATE = ("all rights reserved|privacy policy|terms of (use|service)|cookie
 SHORT_LINE = 20          # words of a line that a boilerplate phrase can condemn
 SYMBOL_SHARE = 0.3       # symbols per word from which a line fails
 SHOUT_SHARE = 0.3        # doubled exclamation marks per word from which a line fails
-DISTINCT_SHARE = 0.2     # a line of REPEAT_WORDS words fails when fewer of them differ
+DISTINCT_SHARE = 0.2     # a line of REPEAT_WORDS words fails when fewer differ, of DISTINCT_WORDS words at most
 REPEAT_WORDS = 10
+DISTINCT_WORDS = 100      # long clean lines repeat words too, so the least number of different words stops growing here
 MIN_KEPT = 0.5           # share of a document's word characters that must be left
 
 
@@ -69,7 +70,7 @@ def line_fails(line: Column) -> Column:
     return _bind(_words(line), lambda w: F.when(F.size(w) == 0, F.lit(False)).otherwise(
         (F.length(line) - F.length(_without(line, SYMBOLS)) > SYMBOL_SHARE * F.size(w))
         | ((F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) / 2 > SHOUT_SHARE * F.size(w))
-        | ((F.size(w) >= REPEAT_WORDS) & (F.size(F.array_distinct(w)) < DISTINCT_SHARE * F.size(w)))
+        | ((F.size(w) >= REPEAT_WORDS) & (F.size(F.array_distinct(w)) < DISTINCT_SHARE * F.least(F.size(w), F.lit(DISTINCT_WORDS))))
         | ((F.size(w) <= SHORT_LINE) & F.lower(line).rlike(BOILERPLATE))))
 
 
@@ -137,7 +138,7 @@ def oracle_ctes(source: str = "documents", name: str = "judged", extra: str = ""
     fails = f"""(len({line_words}) > 0 AND (
         length(x) - length({less('x', symbols)}) > {SYMBOL_SHARE} * len({line_words})
         OR (length(x) - length(replace(x, '!!', ''))) / 2 > {SHOUT_SHARE} * len({line_words})
-        OR (len({line_words}) >= {REPEAT_WORDS} AND len(list_distinct({line_words})) < {DISTINCT_SHARE} * len({line_words}))
+        OR (len({line_words}) >= {REPEAT_WORDS} AND len(list_distinct({line_words})) < {DISTINCT_SHARE} * least(len({line_words}), {DISTINCT_WORDS}))
         OR (len({line_words}) <= {SHORT_LINE} AND regexp_matches(lower(x), '{BOILERPLATE}'))))"""
     return f"""{name}_a AS (
       SELECT row_number() OVER () AS rid, doc_id {extra}, coalesce(text, '') AS t FROM {source}),
