@@ -7,7 +7,6 @@ Layers:
   operators/  reusable distributed building blocks (dense rank on distinct
               values, group counts joined back, one-hot pivot, paging)
   plans/      the data jobs: marts, ML features, dashboard facet queries
-  streaming/  the stateless serving scan on a file stream
 """
 
 from cinespark.plans.catalog import FilmTables

@@ -17,7 +17,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from cinespark.plans import features, marts
+from cinespark.plans import features
 from cinespark.plans.pipeline import FilmPipeline
 from cinespark.session import build_session
 from cinespark.sources import serving as sv
@@ -33,9 +33,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--out", required=True, help="output folder")
     p.add_argument("--name", default="df_movie", help="name of the ML output")
     p.add_argument("--format", default="csv", choices=["csv", "parquet"])
-    p.add_argument("--ml-layout", default="wide", choices=["wide", "long"],
-                   help="one column per feature, or one row per (film, feature)")
-    p.add_argument("--as-of-year", type=int, default=marts.AS_OF_YEAR)
+    p.add_argument("--genres", default=None,
+                   help="comma list of genre features: the wide ML layout over them; without it one row per (film, feature)")
+    p.add_argument("--as-of-year", type=int, default=None, help="year for ages of the living; the current year by default")
     p.add_argument("--actor-min", type=int, default=features.ACTOR_MIN)
     p.add_argument("--director-min", type=int, default=features.DIRECTOR_MIN)
     p.add_argument("--partitions", type=int, default=None,
@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     if args.run in ("statistics", "both"):
         out.update(pipe.write_statistics(args.out, fmt=args.format))
     if args.run in ("ml", "both"):
-        out["ml"] = pipe.write_ml(args.out, args.name, layout=args.ml_layout)
+        out["ml"] = pipe.write_ml(args.out, args.name, args.genres.split(",") if args.genres else None)
     return out
 
 

@@ -11,7 +11,4 @@ from cinespark.functions.columns import (  # noqa: F401
     sentinel_to_null,
     sex_label,
     sexe,
-    to_bigint,
-    to_double,
-    to_int,
 )

@@ -26,19 +26,6 @@ def sentinel_to_null(c: str | Column) -> Column:
     return F.when(c == F.lit(SENTINEL), F.lit(None).cast("string")).otherwise(c)
 
 
-def to_int(c: str | Column) -> Column:
-    """Text to int; the sentinel and any other non-number give NULL."""
-    return col(c).try_cast("int")
-
-
-def to_bigint(c: str | Column) -> Column:
-    return col(c).try_cast("bigint")
-
-
-def to_double(c: str | Column) -> Column:
-    return col(c).try_cast("double")
-
-
 def decade(year: str | Column) -> Column:
     """First year of the decade: 1987 -> 1980; NULL stays NULL."""
     return (F.floor(col(year) / 10) * 10).cast("int")

@@ -3,8 +3,8 @@
 ``COUNT(*) OVER (PARTITION BY k)`` buffers a whole group in one task; a hot
 key (one person with a third of all credits) then sits in one task. Here the
 count is a ``groupBy`` with map-side partial aggregation, so the hot key is
-one row per map task before the shuffle, and the join back is an ordinary
-equi-join that AQE can broadcast or split when skewed.
+one row per map task before the shuffle, and the join back deals the rows
+of a key to several tasks.
 """
 
 from __future__ import annotations
@@ -14,13 +14,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinespark.operators.salting import salted_join
+
 
 def with_group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Add ``name`` = rows sharing ``keys``; NULL when any key is NULL
     (groups with a missing key are not counted, as in a pandas transform)."""
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     counts = df.filter(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(counts, on=keys, how="left")
+    return salted_join(df, counts, keys, "left")
 
 
 def share_of_total(counts: DataFrame, count_col: str, out_col: str = "percent",

@@ -8,15 +8,26 @@ the input happens.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:
-    """Page ``number`` (from 0) of ``size`` rows under a total order."""
-    ordered = df.orderBy(*order)
-    if number > 0:
-        ordered = ordered.offset(number * size)
-    return ordered.limit(size)
+def page_after(df: DataFrame, order: list[tuple[str, bool]], size: int,
+               after: dict | None = None) -> DataFrame:
+    """The ``size`` rows that follow the row ``after`` under a total order.
+
+    ``order`` lists (column, descending) of non-NULL columns; ``after`` holds
+    the order columns of the last row of the page before (None: the first
+    page). The filter is pushed to the scan, and every page costs the same.
+    """
+    if after is not None:
+        later, same = F.lit(False), F.lit(True)
+        for c, descending in order:
+            value = F.lit(after[c])
+            later = later | (same & ((F.col(c) < value) if descending else (F.col(c) > value)))
+            same = same & (F.col(c) == value)
+        df = df.filter(later)
+    return df.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in order]).limit(size)

@@ -27,7 +27,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 def dense_rank_desc(df: DataFrame, value_col: str, partition_cols: list[str] | tuple = (),
-                    rank_col: str = "rank", counts: bool = True) -> DataFrame:
+                    rank_col: str = "rank", counts: bool = False) -> DataFrame:
     """Attach the dense rank of ``value_col`` (largest first) within
     ``partition_cols`` to every row of ``df``.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinespark.functions.columns import genre_items
@@ -17,19 +17,16 @@ def explode_items(df: DataFrame, source: str, out: str, max_items: int = 3) -> D
     return df.withColumn(out, F.explode(genre_items(source, max_items)))
 
 
-def one_hot(df: DataFrame, keys: list[str], value_col: str,
-            values: list[str] | None = None) -> DataFrame:
-    """One row per ``keys``; one 0/1 int column per distinct non-NULL value.
+def one_hot(df: DataFrame, keys: list[str], value_col: str, values: list[str],
+            *more: Column) -> DataFrame:
+    """One row per ``keys``; one 0/1 int column for each of ``values``, then
+    the aggregates ``more``.
 
-    ``values`` fixes the column list and order; when omitted it is read from
-    the data (sorted), which is the output schema itself, so its size is the
-    output width. A key group without any value gets all zeros.
+    The list of values is the output width, so it is a parameter. A value
+    outside it is an error; NULL is no value.
     """
-    if values is None:
-        values = sorted(r[0] for r in df.select(value_col).where(F.col(value_col).isNotNull())
-                        .distinct().collect())
-    if not values:
-        return df.select(*keys).distinct()
-    wide = (df.groupBy(*keys).pivot(value_col, values)
-            .agg(F.max(F.lit(1))))
-    return wide.na.fill(0, subset=list(values))
+    v = F.col(value_col)
+    known = F.when(v.isNull() | v.isin(list(values)), v).otherwise(
+        F.raise_error(F.concat(F.lit(f"{value_col} is not in the vocabulary: "), v)))
+    return (df.withColumn("__value", known).groupBy(*keys)
+            .agg(*[F.max(F.when(F.col("__value") == x, 1).otherwise(0)).alias(x) for x in values], *more))

@@ -3,7 +3,7 @@
 Each text derives the film tables from the star-schema views the checker
 registers (same derivation as ``sources/fixtures.py``), types them, and then
 states the job in plain SQL: window counts over all rows, item positions
-from a ``range``, scalar subqueries, a dynamic ``PIVOT``. The Spark plans
+from a ``range``, scalar subqueries, conditional maxima. The Spark plans
 compute the same results by other routes, so the two check each other.
 """
 
@@ -13,7 +13,7 @@ S = "chr(92) || 'N'"  # the two-character sentinel, written without escapes
 
 FIXTURE_CTES = f"""
 title_basics AS (
-  SELECT concat('tt', lpad(CAST(p_partkey AS VARCHAR), 7, '0')) AS tconst,
+  SELECT concat('tt', lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(7, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0')) AS tconst,
          CASE p_type WHEN 'MEDIUM' THEN 'tvEpisode' WHEN 'PROMO' THEN 'short' WHEN 'STANDARD' THEN 'tvSeries' ELSE 'movie' END AS titleType,
          p_name AS primaryTitle, concat(p_brand, ' ', p_name) AS originalTitle,
          CASE WHEN p_partkey % 41 = 0 THEN '1' ELSE '0' END AS isAdult,
@@ -26,25 +26,24 @@ title_basics AS (
               ELSE concat(replace(p_name, ' ', ','), ',', CASE WHEN p_size < 25 THEN 'News' ELSE 'Sci-Fi' END) END AS genres
   FROM part),
 title_ratings AS (
-  SELECT concat('tt', lpad(CAST(p_partkey AS VARCHAR), 7, '0')) AS tconst,
+  SELECT concat(CASE WHEN p_partkey % 5 = 0 THEN 'tx' ELSE 'tt' END, lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(7, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0')) AS tconst,
          CAST(CAST(10 + (p_partkey * 13) % 91 AS DOUBLE) / 10 AS VARCHAR) AS averageRating,
          CAST(5 + (p_partkey * 37) % 5000 AS VARCHAR) AS numVotes
-  FROM part WHERE p_partkey % 5 <> 0),
+  FROM part),
 title_akas AS (
-  SELECT concat('tt', lpad(CAST(l_partkey AS VARCHAR), 7, '0')) AS titleId,
+  SELECT concat('tt', lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(7, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0')) AS titleId,
          CASE r_name WHEN 'EUROPE' THEN 'FR' WHEN 'AMERICA' THEN 'US' WHEN 'ASIA' THEN 'JP' ELSE {S} END AS region
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-       JOIN region ON n_regionkey = r_regionkey
-  WHERE l_linenumber <= 2),
+       JOIN region ON n_regionkey = r_regionkey),
 title_principals AS (
-  SELECT concat('tt', lpad(CAST(l_partkey AS VARCHAR), 7, '0')) AS tconst,
-         concat('nm', lpad(CAST(o_custkey AS VARCHAR), 7, '0')) AS nconst,
+  SELECT concat('tt', lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(7, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0')) AS tconst,
+         concat('nm', lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(7, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0')) AS nconst,
          CASE l_linenumber WHEN 1 THEN 'director' WHEN 2 THEN 'actor' WHEN 3 THEN 'actor' WHEN 4 THEN 'actress'
               WHEN 5 THEN 'actress' WHEN 6 THEN 'writer' ELSE 'producer' END AS category
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 name_basics AS (
-  SELECT concat('nm', lpad(CAST(c_custkey AS VARCHAR), 7, '0')) AS nconst,
-         concat('Person ', CAST(c_custkey % 1200 AS VARCHAR)) AS primaryName,
+  SELECT concat('nm', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(7, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0')) AS nconst,
+         concat('Person ', CAST(c_custkey // 2 AS VARCHAR)) AS primaryName,
          CASE WHEN c_custkey % 19 = 0 THEN {S} ELSE CAST(1880 + c_custkey % 110 AS VARCHAR) END AS birthYear,
          CASE WHEN c_custkey % 3 = 0 THEN CAST(1940 + c_custkey % 80 AS VARCHAR) ELSE {S} END AS deathYear,
          CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'actor,miscellaneous' WHEN 'BUILDING' THEN 'cinematographer'
@@ -233,30 +232,41 @@ ml_films AS (
     AND runtimeminutes IS NOT NULL AND averagerating IS NOT NULL AND numvotes IS NOT NULL)"""
 
 
-def _ml_select(kinds: list[str]) -> str:
-    """Wide one-hot matrix. DuckDB's dynamic PIVOT cannot see sibling CTEs,
-    so the pivot source and the film list are self-contained subqueries."""
-    base = with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE, ML_ROWS_CTE)
-    parts = []
-    if "genre" in kinds:
-        parts.append(f"SELECT {ML_KEYS_SQL}, {_fname('genre')} AS feature FROM ml_rows")
-    if "name" in kinds:
-        parts.append(f"SELECT {ML_KEYS_SQL}, {_fname('primaryname')} AS feature FROM ml_rows")
-    pairs = " UNION ALL ".join(parts)
-    return (f"WITH ml_piv AS (PIVOT ({base} SELECT * FROM ({pairs}) WHERE feature IS NOT NULL) "
-            f"ON feature USING max(1) GROUP BY {ML_KEYS_SQL}),\n"
-            f"films AS ({base} SELECT * FROM ml_films)\n"
-            f"SELECT films.*, COALESCE(COLUMNS(ml_piv.* EXCLUDE ({ML_KEYS_SQL})), 0) "
-            f"FROM films LEFT JOIN ml_piv USING ({ML_KEYS_SQL})")
+ML_BASE = with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE, ML_ROWS_CTE)
+
+
+def _ml_pairs(kinds: list[str]) -> str:
+    """Distinct (film keys, kind, feature) of films with every key known."""
+    source = {"genre": "genre", "name": "primaryname"}
+    pairs = " UNION ALL ".join(
+        f"SELECT {ML_KEYS_SQL}, '{k}' AS kind, {_fname(source[k])} AS feature FROM ml_rows" for k in kinds)
+    return f"SELECT DISTINCT f.*, x.kind, x.feature FROM ml_films AS f JOIN ({pairs}) AS x USING ({ML_KEYS_SQL}) WHERE x.feature IS NOT NULL"
+
+
+def _ml_long(kinds: list[str]) -> str:
+    return ML_BASE + (f"SELECT * FROM ({_ml_pairs(kinds)}) UNION ALL "
+                      f"SELECT *, NULL AS kind, NULL AS feature FROM (SELECT * FROM ml_films "
+                      f"EXCEPT SELECT {ML_KEYS_SQL} FROM ({_ml_pairs(kinds)}))")
+
+
+def _ml_wide(names: bool) -> str:
+    """One column per genre of the vocabulary, and the names as one text."""
+    from cinespark.fixture_params import GENRE_VOCABULARY
+    cols = ", ".join(f"coalesce(max(CASE WHEN kind = 'genre' AND feature = '{g}' THEN 1 ELSE 0 END), 0) AS \"{g}\"" for g in GENRE_VOCABULARY)
+    if names:
+        cols += ", coalesce(string_agg(feature, '|' ORDER BY feature) FILTER (WHERE kind = 'name'), '') AS names"
+    return ML_BASE + (f"SELECT {ML_KEYS_SQL}, {cols} FROM ml_films LEFT JOIN ({_ml_pairs(['genre', 'name'])}) "
+                      f"USING ({ML_KEYS_SQL}) GROUP BY {ML_KEYS_SQL}")
 
 
 ORACLES["cast_distribution"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE)
                                 + "SELECT * FROM cast_distribution")
 ORACLES["movie_cast"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE)
                          + "SELECT * FROM movie_cast")
-ORACLES["ml_genre_onehot"] = _ml_select(["genre"])
-ORACLES["ml_cast_onehot"] = _ml_select(["name"])
-ORACLES["ml_matrix"] = _ml_select(["genre", "name"])
+ORACLES["ml_genre_onehot"] = _ml_wide(names=False)
+ORACLES["ml_cast_onehot"] = _ml_long(["name"])
+ORACLES["ml_matrix"] = _ml_wide(names=True)
+ORACLES["ml_matrix_long"] = _ml_long(["genre", "name"])
 
 
 # ------------------------------------------------------------------ serving + D1-D9
@@ -328,22 +338,7 @@ def facet_films(genres=None, decades=None, notes=None, actors=False, directors=F
     return base
 
 
-def _names(kind_tables) -> str:
-    if not kind_tables:
-        return "''"
-    parts = " UNION ALL ".join(
-        f"SELECT {k} AS kind, max(primaryName) AS name FROM {tbl} "
-        f"WHERE Nconst IN (SELECT Nconst FROM {sel}) GROUP BY Nconst"
-        for k, (tbl, sel) in kind_tables)
-    return f"(SELECT coalesce(string_agg(name, ',' ORDER BY kind, name), '') FROM ({parts}))"
-
-
 def key_numbers_sql(actors=False, directors=False, **facets) -> str:
-    kinds = []
-    if actors:
-        kinds.append((0, ("actor_serving", "sel_a")))
-    if directors:
-        kinds.append((1, ("director_serving", "sel_d")))
     if actors and directors:
         age = "greatest(max(age_x), max(age_y))"
     elif actors or directors:
@@ -353,7 +348,7 @@ def key_numbers_sql(actors=False, directors=False, **facets) -> str:
     return (SERVING_BASE + f"SELECT COUNT(*) AS n_rows, format('{{:,}}', COUNT(*)) AS n_rows_label, "
             f"round(avg(averagerating), 2) AS mean_rating, "
             f"CAST(round_even(avg(runtimeminutes), 0) AS INTEGER) AS mean_runtime, "
-            f"{_names(kinds)} AS names, CAST({age} AS INTEGER) AS max_age "
+            f"CAST({age} AS INTEGER) AS max_age "
             f"FROM ({facet_films(actors=actors, directors=directors, **facets)})")
 
 
@@ -403,6 +398,12 @@ ORACLES["key_numbers_actors"] = key_numbers_sql(actors=True)
 ORACLES["key_numbers_directors"] = key_numbers_sql(directors=True)
 ORACLES["key_numbers_both"] = key_numbers_sql(actors=True, directors=True)
 
+ORACLES["selected_names"] = SERVING_BASE + """
+SELECT 'actor' AS kind, Nconst, max(primaryName) AS name FROM actor_serving
+WHERE Nconst IN (SELECT Nconst FROM sel_a) GROUP BY Nconst
+UNION ALL SELECT 'director', Nconst, max(primaryName) FROM director_serving
+WHERE Nconst IN (SELECT Nconst FROM sel_d) GROUP BY Nconst"""
+
 ORACLES["count_by_genre"] = (SERVING_BASE + f"SELECT genre, COUNT(*) AS n FROM ({facet_films(G, None, N)}) "
                              f"GROUP BY genre ORDER BY genre")
 ORACLES["count_by_decade"] = (SERVING_BASE + f"SELECT decade, COUNT(*) AS n FROM ({facet_films(None, D, N)}) "
@@ -440,7 +441,9 @@ UNION ALL SELECT 'see_value', v, v FROM (VALUES ('decade'), ('genre')) t(v)"""
 
 # ------------------------------------------------------------------ S1, S2, S4, S5
 
-ORACLES["read_tables"] = with_ctes() + "SELECT * FROM tb"
+for _key, _cte in (("read_tables", "tb"), ("read_title_akas", "ta"), ("read_title_ratings", "tr"),
+                   ("read_title_principals", "tp"), ("read_name_basics", "nb")):
+    ORACLES[_key] = with_ctes() + f"SELECT * FROM {_cte}"
 
 ORACLES["source_check"] = with_ctes() + """
 SELECT 'name_basics' AS table_name, true AS present, COUNT(*) AS n_rows FROM name_basics
@@ -449,6 +452,9 @@ UNION ALL SELECT 'title_basics', true, COUNT(*) FROM title_basics
 UNION ALL SELECT 'title_principals', true, COUNT(*) FROM title_principals
 UNION ALL SELECT 'title_ratings', true, COUNT(*) FROM title_ratings"""
 
+ORACLES["csv_sink_titles"] = with_ctes() + """
+SELECT tconst, ' ' || coalesce(primaryTitle, '') || '"x", y;' AS title FROM tb"""
+
 ORACLES["csv_sink"] = with_ctes(GENRE_STATS_CTE) + """
 SELECT genre, replace(CAST(runtimeminutes AS VARCHAR), '.', ',') AS runtimeminutes,
        replace(CAST(averagerating AS VARCHAR), '.', ',') AS averagerating,
@@ -456,20 +462,3 @@ SELECT genre, replace(CAST(runtimeminutes AS VARCHAR), '.', ',') AS runtimeminut
 FROM genre_stats"""
 
 ORACLES["decimal_comma_cast"] = with_ctes(GENRE_STATS_CTE) + "SELECT * FROM genre_stats"
-
-ORACLES["ml_matrix_long"] = with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE, ML_ROWS_CTE) + f"""
-, ml_feats AS (
-  SELECT DISTINCT f.*, x.feature
-  FROM ml_films AS f
-  JOIN (SELECT {ML_KEYS_SQL}, {_fname('genre')} AS feature FROM ml_rows
-        UNION ALL SELECT {ML_KEYS_SQL}, {_fname('primaryname')} FROM ml_rows) AS x
-    USING ({ML_KEYS_SQL})
-  WHERE x.feature IS NOT NULL)
-SELECT * FROM ml_feats
-UNION ALL
-SELECT f.*, CAST(NULL AS VARCHAR) AS feature FROM ml_films AS f
-WHERE NOT EXISTS (SELECT 1 FROM ml_feats AS m WHERE m.tconst = f.tconst
-                  AND m.primarytitle = f.primarytitle AND m.originaltitle = f.originaltitle
-                  AND m.genres = f.genres AND m.startyear = f.startyear AND m.decade = f.decade
-                  AND m.runtimeminutes = f.runtimeminutes AND m.averagerating = f.averagerating
-                  AND m.numvotes = f.numvotes)"""

@@ -45,8 +45,9 @@ def movie_cast(movies: DataFrame, cast: DataFrame) -> DataFrame:
     """Film x genre rows with each prolific person of the film (M10).
 
     A film without one keeps one row per genre with a NULL name. Written as
-    inner join + anti join on distinct ids (the same rows as a left join), so
-    AQE may split a very hot film on either join side.
+    inner join + anti join on distinct ids (the same rows as a left join): on
+    stored inputs both sides of the inner join are plain shuffles, so a very
+    hot film is split on either side.
     """
     people = cast.select("tconst", "primaryName")
     matched = movies.join(people, "tconst", "inner")
@@ -70,41 +71,28 @@ def _keys_known(df: DataFrame) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ML_KEYS]))
 
 
-def _vocabulary(rows: DataFrame, feature: str) -> list[str]:
-    """Feature names over all rows, films with unknown keys included: the
-    output columns. Its length is the output width, collected like a schema."""
-    return sorted(r[0] for r in rows.where(F.col(feature).isNotNull())
-                  .select(feature).distinct().collect())
+def ml_onehot(movie_cast_rows: DataFrame, genres: list[str], names: bool = False) -> DataFrame:
+    """One row per film (9 keys) with one 0/1 column for each genre feature
+    of the vocabulary ``genres`` (M11a), and with ``names`` the person
+    features of the film as one sorted text (M11c).
 
+    Genres and names are encoded separately. A genre outside the vocabulary
+    is an error. Names stay a text: their number grows with the people.
+    """
+    rows = _keys_known(_ml_rows(movie_cast_rows))
+    more = [F.array_join(F.array_sort(F.collect_set("name_feature")), "|").alias("names")] if names else []
+    return one_hot(rows, ML_KEYS, "genre_feature", genres, *more)
 
-def ml_onehot(movie_cast_rows: DataFrame, features: tuple[str, ...] = ("genre", "name"),
-              vocabulary: list[str] | None = None) -> DataFrame:
-    """One row per film (9 keys) with one 0/1 column per genre and/or
-    person name (M11a/b/c). A NULL name gives no column (all zeros).
 
-    Plan: (film keys, feature) pairs of both kinds in one frame and one
-    pivot with the explicit vocabulary: one shuffle for the whole matrix.
-    """
-    rows = _ml_rows(movie_cast_rows)
+def ml_onehot_long(movie_cast_rows: DataFrame, kinds: tuple[str, ...] = ("genre", "name")) -> DataFrame:
+    """The M11 matrix in long (sparse) layout, its main form: one row per
+    (film keys, kind, feature) whose column would hold 1, and one row with
+    NULLs for a film without any. Its width does not grow with the data and
+    no vocabulary is collected."""
+    rows = _keys_known(_ml_rows(movie_cast_rows))
     pairs = reduce(DataFrame.unionByName, [
-        rows.select(*ML_KEYS, F.col(f"{f}_feature").alias("feature")) for f in features])
-    if vocabulary is None:
-        vocabulary = _vocabulary(pairs, "feature")
-    return one_hot(_keys_known(pairs), ML_KEYS, "feature", vocabulary)
-
-
-
-def ml_onehot_long(movie_cast_rows: DataFrame,
-                   features: tuple[str, ...] = ("genre", "name")) -> DataFrame:
-    """The M11 matrix in long (sparse) layout: one row per (film keys,
-    feature) whose column would hold 1, and one row with a NULL feature for
-    a film whose columns are all 0. Same information as ``ml_onehot``, but
-    its width does not grow with the vocabulary (tens of thousands of names
-    at full scale), and no vocabulary is collected."""
-    rows = _ml_rows(movie_cast_rows)
-    pairs = _keys_known(reduce(DataFrame.unionByName, [
-        rows.select(*ML_KEYS, F.col(f"{f}_feature").alias("feature")) for f in features]))
+        rows.select(*ML_KEYS, F.lit(k).alias("kind"), F.col(f"{k}_feature").alias("feature")) for k in kinds])
     hits = pairs.where(F.col("feature").isNotNull()).distinct()
-    empty = (pairs.groupBy(*ML_KEYS).agg(F.count("feature").alias("_n"))
-             .where(F.col("_n") == 0).select(*ML_KEYS, F.lit(None).cast("string").alias("feature")))
+    empty = (pairs.groupBy(*ML_KEYS).agg(F.count("feature").alias("_n")).where(F.col("_n") == 0)
+             .select(*ML_KEYS, F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("feature")))
     return hits.unionByName(empty)

@@ -6,6 +6,8 @@ a lazy DataFrame. Plan notes are on each function.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +15,13 @@ from cinespark.functions import columns as C
 from cinespark.operators.counting import share_of_total
 from cinespark.operators.ranking import dense_rank_desc
 from cinespark.operators.reshape import explode_items
+from cinespark.operators.salting import salted_join
 from cinespark.plans.catalog import FilmTables
 
 # The reference's filters and defaults.
 REGION = "FR"
 TITLE_TYPE = "movie"
 MAX_RUNTIME = 60 * 5
-AS_OF_YEAR = 2023
 CREDIT_CATEGORIES = "(director|actor|actress)"
 EXCLUDED_PROFESSIONS = "(cinematographer|miscellaneous)"
 ACTING = "actor|actress"
@@ -40,7 +42,7 @@ def titles_in_region(t: FilmTables, region: str = REGION) -> DataFrame:
 
 # ---------------------------------------------------------------- M1
 
-def credits_base(t: FilmTables, as_of_year: int = AS_OF_YEAR, region: str = REGION,
+def credits_base(t: FilmTables, as_of_year: int | None = None, region: str = REGION,
                  title_type: str = TITLE_TYPE) -> DataFrame:
     """Person x title credits of films in ``region`` (M1).
 
@@ -48,34 +50,36 @@ def credits_base(t: FilmTables, as_of_year: int = AS_OF_YEAR, region: str = REGI
     profession does not match cinematographer/miscellaneous (a NULL
     profession drops the row, the text sentinel keeps it), title type, not
     adult. DISTINCT over the whole row: one person credited in two
-    categories of one film gives two rows.
+    categories of one film gives two rows. ``as_of_year`` is the current year
+    unless given.
 
     Plan: the type/adult filters reach the title scan; the region becomes a
     semi-join on pre-deduplicated title ids; principals join titles on
-    ``tconst`` and people on ``nconst``. The final DISTINCT runs inside the
-    ``nconst`` partitions of the last join.
+    ``tconst`` and people on ``nconst``. DISTINCT is taken of each input
+    before the joins (the row holds every column of all three), so no step
+    needs the rows of one person together and a hot person is split.
     """
     titles = (t.title_basics
               .filter((F.col("titleType") == title_type) & (F.col("isAdult") == 0))
               .join(titles_in_region(t, region), "tconst", "left_semi")
               .select("tconst", "primaryTitle", "originalTitle", "startYear",
-                      "runtimeMinutes", "genres"))
+                      "runtimeMinutes", "genres").distinct())
     principals = (t.title_principals
                   .filter(F.col("category").rlike(CREDIT_CATEGORIES))
-                  .select("tconst", "nconst", "category"))
+                  .select("tconst", "nconst", "category").distinct())
     people = (t.name_basics
               .filter(~F.col("primaryProfession").rlike(EXCLUDED_PROFESSIONS))
-              .select("nconst", "primaryName", "birthYear", "deathYear", "primaryProfession"))
+              .select("nconst", "primaryName", "birthYear", "deathYear", "primaryProfession").distinct())
     rows = principals.join(titles, "tconst").join(people, "nconst")
     return rows.select(
         "nconst", "tconst", "primaryName", "birthYear", "deathYear", "primaryTitle",
         "originalTitle", "startYear", "runtimeMinutes", "genres", "category",
         "primaryProfession",
         C.sexe("category").alias("sexe"),
-        C.age("birthYear", "deathYear", as_of_year).alias("age"),
+        C.age("birthYear", "deathYear", as_of_year or date.today().year).alias("age"),
         (F.col("startYear") - F.col("birthYear")).alias("age_in_movie"),
         C.decade("startYear").alias("decade"),
-    ).distinct()
+    )
 
 
 # ---------------------------------------------------------------- M2
@@ -265,21 +269,20 @@ def actor_mart(credits: DataFrame) -> DataFrame:
     (homonyms add up; NULL name or decade gives NULL).
 
     Plan: counts and ranks are computed on one row per (person, sex), not
-    per credit, and meet the credit rows in one join on the person id. The
-    distinct credit rows are one exchange, shared by that join and by the
-    name-decade counts.
+    per credit, and meet the credit rows in one join on the person id, in
+    which the rows of a hot person are dealt to several tasks.
     """
     # credits never hold a NULL person id; stating it makes every branch
     # below start from the same filtered scan, so their exchanges are shared
     acting = credits.filter(F.col("category").rlike(ACTING) & F.col("nconst").isNotNull())
     per_person = dense_rank_desc(
         _credit_counts(acting, with_sexe=True).filter(F.col("sexe").isin(0, 1)),
-        "nb_film", ["sexe"]).withColumn("rank", F.col("rank").cast("int"))
+        "nb_film", ["sexe"], counts=True).withColumn("rank", F.col("rank").cast("int"))
     base = (acting.filter(F.col("sexe").isin(0, 1) & F.col("sexe").isNotNull())
             .select("nconst", "tconst", "primaryName", "birthYear", "deathYear",
                     "primaryTitle", "originalTitle", "startYear", "runtimeMinutes",
                     "genres", "sexe", "age_in_movie", "age", "decade").distinct())
-    rows = base.join(per_person, ["nconst", "sexe"])
+    rows = salted_join(base, per_person, ["nconst", "sexe"])
     return _finish_person_mart(rows, base, ACTOR_COLUMNS)
 
 
@@ -288,8 +291,8 @@ def director_mart(credits: DataFrame) -> DataFrame:
     decade of the same name (M8). Rows are not deduplicated: two director
     categories in one film give two equal rows."""
     directing = credits.filter(F.col("category").rlike(DIRECTING) & F.col("nconst").isNotNull())
-    per_person = dense_rank_desc(_credit_counts(directing, with_sexe=False), "nb_film", [])
-    rows = directing.join(per_person, "nconst").select(
+    per_person = dense_rank_desc(_credit_counts(directing, with_sexe=False), "nb_film", [], counts=True)
+    rows = salted_join(directing, per_person, ["nconst"]).select(
         "nconst", "tconst", "primaryName", "birthYear", "deathYear", "primaryProfession",
         "primaryTitle", "originalTitle", "startYear", "runtimeMinutes", "genres",
         "age_in_movie", "age", "decade", "nb_film", F.col("rank").cast("int").alias("rank"))

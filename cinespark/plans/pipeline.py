@@ -6,7 +6,7 @@ M10, the three serving tables) are materialized once in the shared
 checkpoint folder, so no job recomputes the four-way credit join.
 
 ``write_statistics`` is the reference's statistics run (three statistics
-and three marts); ``write_ml`` is its ML run (one wide CSV, ``;``).
+and three marts); ``write_ml`` is its ML run (one CSV, ``;``).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from cinespark.sources.sinks import csv_sink, parquet_sink
 
 
 class FilmPipeline:
-    def __init__(self, tables: FilmTables, as_of_year: int = marts.AS_OF_YEAR,
+    def __init__(self, tables: FilmTables, as_of_year: int | None = None,
                  actor_min: int = features.ACTOR_MIN, director_min: int = features.DIRECTOR_MIN,
                  since: int = features.SINCE_YEAR,
                  serving_actor_min: int = sv.SERVING_MIN_FILMS,
@@ -41,31 +41,55 @@ class FilmPipeline:
         return materialize(marts.credits_base(self.tables, as_of_year=self.as_of_year),
                            "credits", sort_within=["nconst"])
 
+    @cached_property
     def movies(self) -> DataFrame:
-        """M2 without the final order (a lazy plan; cheap to recompute)."""
-        return marts.movie_genre(self.tables, ordered=False)
+        """M2 without the final order, stored: read by M10 and the film mart."""
+        return materialize(marts.movie_genre(self.tables, ordered=False), "movie_genre")
 
+    @cached_property
     def cast(self) -> DataFrame:
-        return features.cast_distribution(self.credits, self.actor_min, self.director_min,
-                                          self.since)
+        """M9, stored."""
+        return materialize(features.cast_distribution(self.credits, self.actor_min, self.director_min,
+                                                      self.since), "cast")
 
     @cached_property
     def movie_cast(self) -> DataFrame:
-        """M10, materialized: read twice by the one-hot (vocabulary, pivot)."""
-        return materialize(features.movie_cast(self.movies(), self.cast()), "movie_cast")
+        """M10, stored: read by both layouts of the ML matrix."""
+        return materialize(features.movie_cast(self.movies, self.cast), "movie_cast")
+
+    @cached_property
+    def movie_mart(self) -> DataFrame:
+        """M6 with NULLs, stored."""
+        return materialize(marts.movie_mart(self.tables, fill=False), "movie_mart", sort_within=["decade", "genre"])
+
+    @cached_property
+    def actor_mart(self) -> DataFrame:
+        """M7 with NULLs, stored."""
+        return materialize(marts.actor_mart(self.credits), "actor_mart", sort_within=["nb_film"])
+
+    @cached_property
+    def director_mart(self) -> DataFrame:
+        """M8 with NULLs, stored."""
+        return materialize(marts.director_mart(self.credits), "director_mart", sort_within=["nb_film"])
+
+    def scan_movies(self) -> DataFrame:
+        return marts.fill_missing(sv.serving_scan_movie(self.movie_mart))
+
+    def scan_actors(self) -> DataFrame:
+        return marts.fill_missing(sv.serving_scan_actor(self.actor_mart, self.serving_actor_min))
+
+    def scan_directors(self) -> DataFrame:
+        return marts.fill_missing(sv.serving_scan_director(self.director_mart, self.serving_director_min))
 
     @cached_property
     def serving(self) -> sv.Serving:
-        """The three serving tables, materialized (the dashboard's snapshot)."""
+        """The three serving tables, stored (the dashboard's snapshot); rows
+        with a NULL are dropped here, once."""
         return sv.Serving(
-            movies=materialize(sv.serving_scan_movie(marts.movie_mart(self.tables, fill=True)),
-                               "serving_movie", sort_within=["decade", "genre"]),
-            actors=materialize(sv.serving_scan_actor(
-                marts.fill_missing(marts.actor_mart(self.credits)), self.serving_actor_min),
-                "serving_actor", sort_within=["Nconst", "tconst"]),
-            directors=materialize(sv.serving_scan_director(
-                marts.fill_missing(marts.director_mart(self.credits)),
-                self.serving_director_min), "serving_director", sort_within=["Nconst", "tconst"]))
+            movies=materialize(self.scan_movies().na.drop(), "serving_movie", sort_within=["decade", "genre"]),
+            actors=materialize(self.scan_actors().na.drop(), "serving_actor", sort_within=["Nconst", "tconst"]),
+            directors=materialize(self.scan_directors().na.drop(), "serving_director",
+                                  sort_within=["Nconst", "tconst"]))
 
     # ---------------------------------------------------------- job results
     def statistics(self) -> dict[str, DataFrame]:
@@ -74,13 +98,14 @@ class FilmPipeline:
             "stat_global": marts.stat_global(self.tables),
             "stat_gen_genre": marts.genre_stats(self.tables),
             "stat_gen_content": marts.content_share(self.tables),
-            "movie": marts.movie_mart(self.tables, fill=False),
-            "actor": marts.actor_mart(self.credits),
-            "producer": marts.director_mart(self.credits),
+            "movie": self.movie_mart,
+            "actor": self.actor_mart,
+            "producer": self.director_mart,
         }
 
-    def ml_matrix(self) -> DataFrame:
-        return features.ml_onehot(self.movie_cast, ("genre", "name"))
+    def ml_matrix(self, genres: list[str]) -> DataFrame:
+        """The wide ML matrix over a given vocabulary of genre features."""
+        return features.ml_onehot(self.movie_cast, genres, names=True)
 
     # ---------------------------------------------------------- sinks
     def write_statistics(self, path: str, fmt: str = "csv") -> dict[str, str]:
@@ -97,17 +122,10 @@ class FilmPipeline:
             out[name] = p
         return out
 
-    def write_ml(self, path: str, name: str = "df_movie", layout: str = "wide") -> str:
-        """The ML matrix as CSV with ``;``. ``layout="long"`` writes one row
-        per (film, feature) instead of one column per feature, for a
-        vocabulary too wide for columns."""
+    def write_ml(self, path: str, name: str = "df_movie", genres: list[str] | None = None) -> str:
+        """The ML matrix as CSV with ``;``: the long layout, or the wide one
+        over the genre features ``genres``."""
         p = f"{path.rstrip('/')}/{name}"
-        df = (self.ml_matrix() if layout == "wide"
-              else features.ml_onehot_long(self.movie_cast, ("genre", "name")))
-        csv_sink(df, p, sep=";", decimal_comma=False, fill=layout == "wide")
+        df = self.ml_matrix(genres) if genres else features.ml_onehot_long(self.movie_cast)
+        csv_sink(df, p, sep=";", decimal_comma=False, fill=bool(genres))
         return p
-
-
-def dashboard(pipeline: FilmPipeline) -> facets.Serving:
-    """Serving tables for the D-jobs in ``plans.facets``."""
-    return pipeline.serving

@@ -27,26 +27,30 @@ SCALE_CONF = {
 }
 
 
-# Initial shuffle partitions on a cluster. AQE only coalesces (and splits
-# skewed join partitions), so the start must be fine enough for the largest
-# shuffle: ~2 TB of shuffle data at the 256 MB advisory size. Small stages
-# are coalesced back at runtime.
-CLUSTER_SHUFFLE_PARTITIONS = 8192
+# Shuffle partitions of about this size, for an input of known size.
+SHUFFLE_PARTITION_BYTES = 256 << 20
+
+
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """Initial shuffle partitions for a run over ``input_bytes``: AQE only
+    coalesces, so the start must be fine enough for the largest shuffle."""
+    return max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "cinespark", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the package's scale settings.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset: the
-    cluster manager supplies the master and AQE coalesces the shuffle
-    partitions at runtime.
+    On a cluster leave ``master`` unset (the cluster manager supplies it) and
+    give ``shuffle_partitions_for(input bytes)``; without a number the
+    session's own setting stays.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or CLUSTER_SHUFFLE_PARTITIONS)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -58,21 +62,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a
-    fresh local folder is created and registered.
+    Read from the session. Where it is unset, a local master gets a fresh
+    local folder (tests); any other master is an error, because executors
+    would write to their own disks.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            base = None
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="cinespark-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:  # Spark Connect: the folder is only used for Parquet
-            pass
+        spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
@@ -93,16 +92,21 @@ def materialize(df, name: str = "table", sort_within: list[str] | None = None):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        few = df.rdd.getNumPartitions() < parallelism
-    except Exception:  # Spark Connect: no partition count on the client
-        few = False
-    if few:
-        # a table read from one unsplittable file: spread it once, so every
-        # later scan runs in parallel (never true for a cluster-sized input)
-        df = df.repartition(parallelism)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def input_version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files one or two levels below ``path``:
+    a key under which results of the same input may be kept."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for st in fs.listStatus(root):
+        found.append((st.getPath().getName(), st.getLen(), st.getModificationTime()))
+        if st.isDirectory():
+            found += [(x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in fs.listStatus(st.getPath())]
+    return tuple(sorted(found))

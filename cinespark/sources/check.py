@@ -48,6 +48,8 @@ def source_check_path(spark: SparkSession, path: str, ext: str = "tsv.gz",
     for n in names or TABLE_FILES:
         try:
             found[view_name(n)] = read_raw_tsv(spark, f"{path.rstrip('/')}/{n}.{ext}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             found[view_name(n)] = None
     return source_check(spark, found, [view_name(n) for n in names or TABLE_FILES])

@@ -22,7 +22,9 @@ from cinespark.functions.columns import SENTINEL
 
 
 def _id(prefix: str, key) -> F.Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 7, "0"))
+    """At least seven digits; longer keys stay whole, so ids never merge."""
+    text = key.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(7), F.length(text)), F.lit("0")))
 
 
 def _sentinel():
@@ -55,8 +57,9 @@ def title_basics(part: DataFrame) -> DataFrame:
 
 def title_ratings(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
-    return part.filter(k % 5 != 0).select(
-        _id("tt", k).alias("tconst"),
+    # every fifth rating belongs to a title that the catalogue does not have
+    return part.select(
+        F.when(k % 5 == 0, _id("tx", k)).otherwise(_id("tt", k)).alias("tconst"),
         ((F.lit(10) + (k * 13) % 91).cast("double") / 10).cast("string").alias("averageRating"),
         (F.lit(5) + (k * 37) % 5000).cast("string").alias("numVotes"),
     )
@@ -71,8 +74,7 @@ def title_akas(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame,
     supp = supplier.select("s_suppkey", "s_nationkey").join(
         F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey"))
     r = F.col("r_name")
-    return (lineitem.filter(F.col("l_linenumber") <= 2)
-            .select("l_partkey", "l_suppkey")
+    return (lineitem.select("l_partkey", "l_suppkey")
             .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
             .select(_id("tt", F.col("l_partkey")).alias("titleId"),
                     F.when(r == "EUROPE", "FR").when(r == "AMERICA", "US")
@@ -96,7 +98,7 @@ def name_basics(customer: DataFrame) -> DataFrame:
     k, seg = F.col("c_custkey"), F.col("c_mktsegment")
     return customer.select(
         _id("nm", k).alias("nconst"),
-        F.concat(F.lit("Person "), (k % 1200).cast("string")).alias("primaryName"),
+        F.concat(F.lit("Person "), F.floor(k / 2).cast("string")).alias("primaryName"),
         F.when(k % 19 == 0, _sentinel())
          .otherwise((F.lit(1880) + k % 110).cast("string")).alias("birthYear"),
         F.when(k % 3 == 0, (F.lit(1940) + k % 80).cast("string"))

@@ -1,10 +1,10 @@
 """Serving tables: predicate scans of the marts (job S3).
 
-The dashboard reads three marts with fixed predicates. The marts hold -9999
-for every missing cell (``plans.marts.fill_missing``); on Parquet the
-predicates below reach the scan as pushed filters. A database copy of the
-marts is read with ``read_jdbc_serving``, which hands the same predicate to
-the database.
+The dashboard reads three marts with fixed predicates. The stored marts keep
+NULL for a missing cell, so the predicates below are plain comparisons that
+reach the Parquet scan; -9999 is put in afterwards (``fill_missing``). A
+database copy of the marts is read with ``read_jdbc_serving``, which hands a
+predicate to the database (written, but not tested: no database here).
 """
 
 from __future__ import annotations
@@ -14,41 +14,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinespark.functions.columns import FILL_VALUE
-
 # The reference's serving threshold.
 SERVING_MIN_FILMS = 10
 
-MOVIE_PREDICATE = (f"decade > 0 AND genre <> '{FILL_VALUE}' AND runtimeminutes > 0 "
-                   f"AND averagerating > 0")
-
-
-def actor_predicate(min_films: int = SERVING_MIN_FILMS) -> str:
-    return f"nb_film > {min_films} AND age > 0 AND age_in_movie > 0"
-
-
-def director_predicate(min_films: int = SERVING_MIN_FILMS) -> str:
-    return f"nb_film > {min_films} AND age > 0"
-
 
-def serving_scan_movie(movie_mart_filled: DataFrame) -> DataFrame:
+def serving_scan_movie(movie_mart: DataFrame) -> DataFrame:
     """Films with a decade, a genre, a runtime and a rating."""
-    return movie_mart_filled.filter(
-        (F.col("decade") > 0) & (F.col("genre") != F.lit(str(FILL_VALUE)))
-        & (F.col("runtimeminutes") > 0) & (F.col("averagerating") > 0))
+    return movie_mart.filter((F.col("decade") > 0) & F.col("genre").isNotNull()
+                             & (F.col("runtimeminutes") > 0) & (F.col("averagerating") > 0))
 
 
-def serving_scan_actor(actor_mart_filled: DataFrame,
-                       min_films: int = SERVING_MIN_FILMS) -> DataFrame:
+def serving_scan_actor(actor_mart: DataFrame, min_films: int = SERVING_MIN_FILMS) -> DataFrame:
     """Credits of actors with more than ``min_films`` credits and a known age."""
-    return actor_mart_filled.filter(
-        (F.col("nb_film") > min_films) & (F.col("age") > 0) & (F.col("age_in_movie") > 0))
+    return actor_mart.filter((F.col("nb_film") > min_films) & (F.col("age") > 0) & (F.col("age_in_movie") > 0))
 
 
-def serving_scan_director(director_mart_filled: DataFrame,
-                          min_films: int = SERVING_MIN_FILMS) -> DataFrame:
+def serving_scan_director(director_mart: DataFrame, min_films: int = SERVING_MIN_FILMS) -> DataFrame:
     """Credits of directors with more than ``min_films`` credits and a known age."""
-    return director_mart_filled.filter((F.col("nb_film") > min_films) & (F.col("age") > 0))
+    return director_mart.filter((F.col("nb_film") > min_films) & (F.col("age") > 0))
 
 
 def read_jdbc_serving(spark: SparkSession, url: str, table: str, predicate: str,

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from cinespark.functions.columns import decimal_comma_text, decimal_comma_to_double
 from cinespark.plans.marts import fill_missing
 
-NUMERIC = ("integer", "long", "short", "byte", "double", "float", "decimal")
+#: A quote is doubled and blanks stay, as CSV readers elsewhere expect.
+CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+              "ignoreTrailingWhiteSpace": "false"}
 
 
 def to_csv_text(df: DataFrame, decimal_comma: bool = True, fill: bool = True) -> DataFrame:
@@ -42,7 +44,7 @@ def csv_sink(df: DataFrame, path: str, sep: str = ",", decimal_comma: bool = Tru
     if sort_within:
         text = text.sortWithinPartitions(*sort_within)
     (text.write.mode("overwrite")
-     .options(sep=sep, header="true", encoding=encoding, quoteAll="false")
+     .options(sep=sep, encoding=encoding, **CSV_FORMAT)
      .csv(path))
 
 
@@ -58,7 +60,7 @@ def parquet_sink(df: DataFrame, path: str, range_key: str | None = None,
 
 def read_csv_text(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """A CSV mart back as all-text columns."""
-    return spark.read.options(sep=sep, header="true", inferSchema="false").csv(path)
+    return spark.read.options(sep=sep, inferSchema="false", multiLine="true", **CSV_FORMAT).csv(path)
 
 
 def decimal_comma_cast(df: DataFrame, numeric_columns: list[str]) -> DataFrame:

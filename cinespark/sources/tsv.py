@@ -10,16 +10,24 @@ read (or convert once with ``to_parquet``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cinespark.plans.catalog import TABLE_FILES, FilmTables, view_name
 
 TSV_OPTIONS = {"sep": "\t", "header": "true", "quote": "", "inferSchema": "false",
-               "mode": "PERMISSIVE"}
+               "mode": "FAILFAST", "enforceSchema": "false", "columnPruning": "false",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_raw_tsv(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """One raw table, all columns text, names from the header."""
-    df = spark.read.options(**TSV_OPTIONS).csv(path)
+    """One raw table, all columns text, names from the header of the first
+    file. A file with another header, or a row with more or fewer cells, is
+    an error when it is read."""
+    head = spark.read.text(path).first()
+    if head is None:
+        raise ValueError(f"no header in {path}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in head[0].split("\t")])
+    df = spark.read.options(**TSV_OPTIONS).schema(schema).csv(path)
     return df.repartition(partitions) if partitions else df
 
 
@@ -39,6 +47,7 @@ def read_tables(spark: SparkSession, path: str, names: list[str] | None = None,
 def write_raw_tsv(df: DataFrame, path: str, compression: str = "gzip") -> None:
     """Write a raw (text) table in the same format."""
     (df.write.mode("overwrite").options(sep="\t", header="true", quote="", escape="",
+                                        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
                                         compression=compression).csv(path))
 
 

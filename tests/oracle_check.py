@@ -8,12 +8,13 @@ sorting columns by name (order-insensitive), floats compared exactly after
 from __future__ import annotations
 
 import math
+import tempfile
 import sys
 import time
 
 import duckdb
 
-STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark"]
 DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
               "boolean": "BOOLEAN"}
 
@@ -51,7 +52,8 @@ def compare(spark, con, key, fn, sql, sf_dir):
     s_types = dict(sdf.dtypes)
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    res = con.execute(sql)
+    con.execute(f"CREATE OR REPLACE VIEW oracle AS {sql}")  # as the checker registers it
+    res = con.execute("SELECT * FROM oracle")
     d_cols = [d[0] for d in res.description]
     d_types = {d[0]: str(d[1]) for d in res.description}
     d_rows = res.fetchall()
@@ -81,8 +83,9 @@ def main(argv):
     from cinespark.session import build_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    keys = argv[2:] or list(E.queries())
-    spark = build_session("local[8]", 8)
+    from cinespark.queries import QUERIES
+    keys = argv[2:] or list(QUERIES)
+    spark = build_session("local[8]", 8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cinespark-check-")})
     con = duck(sf_dir)
     q, o = E.queries(), E.oracle_sql()
     bad = 0

@@ -1,7 +1,7 @@
 """Invariants of the reference's committed outputs, I/O round trips, and
 brute-force checks of the wide one-hot against pandas."""
 
-import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SENT, film_tables, person, title
@@ -86,8 +86,8 @@ def test_parquet_sink_range_order(spark):
     assert sorted(got) == sorted(r[0] for r in df.collect())
 
 
-def test_ml_matrix_equals_pandas_get_dummies(spark):
-    """Brute force on a small fixture: pandas get_dummies + group max."""
+def test_ml_matrix_keeps_genres_and_names_apart(spark):
+    """Brute force on a small fixture, with an actor named like a genre."""
     t = film_tables(
         spark,
         title_basics=[title("tt1", "Sci-Fi,Drama"), title("tt2", "Drama"),
@@ -95,24 +95,46 @@ def test_ml_matrix_equals_pandas_get_dummies(spark):
         title_akas=[(f"tt{i}", "FR") for i in range(1, 5)],
         title_ratings=[(f"tt{i}", "6.5", "10") for i in range(1, 5)],
         title_principals=[("tt1", "nm1", "actor"), ("tt2", "nm1", "actor"),
-                          ("tt1", "nm2", "director"), ("tt4", "nm3", "actress")],
+                          ("tt1", "nm2", "director"), ("tt4", "nm3", "actress"), ("tt2", "nm4", "director")],
         name_basics=[person("nm1", name="Jean-Luc Big"), person("nm2", name="Ann_Lee"),
-                     person("nm3", name="Zoe")])
+                     person("nm3", name="Zoe"), person("nm4", name="News")])
     p = FilmPipeline(t, actor_min=2, director_min=1)
-    got = p.ml_matrix().toPandas()
-    mc = p.movie_cast.toPandas().replace(SENT, None)
-    pdf = pd.get_dummies(mc, columns=["genre"], prefix="")
-    pdf = pd.get_dummies(pdf, columns=["primaryName"], prefix="")
-    pdf.columns = [feature_name_py(c) if c.startswith("_") else c.lower() for c in pdf.columns]
-    keys = features.ML_KEYS
-    feats = [c for c in pdf.columns if c not in keys]
-    want = pdf.groupby(keys)[feats].max().reset_index()
-    assert sorted(got.columns) == sorted(want.columns)
-    got = got[want.columns].sort_values("tconst").reset_index(drop=True)
-    want = want.sort_values("tconst").reset_index(drop=True)
-    for c in feats:
-        assert list(got[c].astype(int)) == list(want[c].astype(int)), c
-    assert list(got["tconst"]) == list(want["tconst"]) == ["tt1", "tt2", "tt4"]
+    genres = ["drama", "news", "sci_fi", "western"]
+    got = {r["tconst"]: r for r in p.ml_matrix(genres).collect()}
+    mc = p.movie_cast.toPandas()
+    assert set(got) == {"tt1", "tt2", "tt4"}
+    for k, r in got.items():
+        rows = mc[mc["tconst"] == k]
+        assert [r[g] for g in genres] == [int(g in {feature_name_py(x) for x in rows["genre"]}) for g in genres]
+        assert r["names"] == "|".join(sorted({feature_name_py(x) for x in rows["primaryName"].dropna()}))
+    assert got["tt2"]["news"] == 0 and "news" in got["tt2"]["names"]
+    with pytest.raises(Exception, match="vocabulary"):
+        p.ml_matrix(["drama"]).collect()
+    long = {(r["tconst"], r["kind"], r["feature"]) for r in features.ml_onehot_long(p.movie_cast).collect()}
+    assert ("tt2", "name", "news") in long and ("tt2", "genre", "news") not in long
+    assert {(k, g) for k, kind, g in long if kind == "genre"} == {(k, g) for k, r in got.items() for g in genres if r[g]}
+
+
+def test_csv_of_titles_is_plain_csv(spark):
+    """Quotes, commas, semicolons and blanks, read by Python's csv module."""
+    import csv
+    import glob
+    rows = [("tt1", '  say "hi", x; y '), ("tt2", '"'), ("tt3", "a\\b"), ("tt4", "plain")]
+    df = spark.createDataFrame(rows, "tconst string, title string")
+    for sep in (",", ";"):
+        path = scratch_path(spark, "csv-titles")
+        sinks.csv_sink(df, path, sep=sep, single_file=True)
+        with open(glob.glob(f"{path}/part-*.csv")[0], newline="", encoding="utf-8") as f:
+            assert sorted(map(tuple, list(csv.reader(f, delimiter=sep))[1:])) == rows
+        assert sorted(map(tuple, sinks.read_csv_text(spark, path, sep).collect())) == rows
+
+
+def test_bad_tsv_rows_are_reported(spark, tmp_path):
+    (tmp_path / "title.akas.tsv").write_text("titleId\tregion\ntt1\tFR\textra\n")
+    with pytest.raises(Exception):
+        tsv.read_raw_tsv(spark, str(tmp_path / "title.akas.tsv")).collect()
+    (tmp_path / "t.tsv").write_text("titleId\tregion\n  tt1 \t FR\n")
+    assert [tuple(r) for r in tsv.read_raw_tsv(spark, str(tmp_path / "t.tsv")).collect()] == [("  tt1 ", " FR")]
 
 
 def test_batch_runs_write_every_output(spark):
@@ -146,18 +168,6 @@ def test_command_line_batch_run(spark):
         r["genre"]: str(r["averagerating"]).replace(".", ",") for r in want}
 
 
-def test_ml_long_layout_pivots_back_to_the_wide_matrix(spark):
-    p = FilmPipeline(load_film_tables(spark, "/root/testdata/sf0.001"), actor_min=5,
-                     director_min=3)
-    wide = p.ml_matrix()
-    long = features.ml_onehot_long(p.movie_cast)
-    feats = [c for c in wide.columns if c not in features.ML_KEYS]
-    back = (long.groupBy(*features.ML_KEYS).pivot("feature", feats).agg(F.max(F.lit(1)))
-            .na.fill(0, subset=feats).select(*wide.columns))
-    assert back.count() == wide.count()
-    assert back.exceptAll(wide).count() == 0 and wide.exceptAll(back).count() == 0
-
-
 def test_tsv_to_parquet_conversion_keeps_types_and_rows(spark):
     from cinespark.sources.fixtures import raw_film_tables
 

@@ -3,6 +3,7 @@ the scan, no single-partition step over rows, a hot key of one third."""
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import film_tables, person, title
@@ -102,31 +103,106 @@ def skew_conf(spark):
             spark.conf.set(k, v)
 
 
-def test_hot_person_join_is_split_at_runtime(spark, skew_conf):
-    """The per-person count joined back to the credits: AQE splits the
-    partition of a person holding most credit rows."""
-    from cinespark.plans import features
-
+def hot_tables(spark):
     titles = [title(f"tt{i:05d}", year="1990") for i in range(3000)]
     principals = [(f"tt{i:05d}", "nm00000", "actor") for i in range(2000)]
-    principals += [(f"tt{i:05d}", f"nm{1 + i % 50:05d}", "actor") for i in range(2000, 3000)]
-    people = [person(f"nm{i:05d}") for i in range(51)]
-    t = film_tables(spark, title_basics=titles, title_akas=[(x[0], "FR") for x in titles],
-                    title_ratings=[(x[0], "6.0", "5") for x in titles],
-                    title_principals=principals, name_basics=people)
-    df = features.cast_distribution(marts.credits_base(t), actor_min=1, director_min=1)
-    rows = df.collect()
-    assert len(rows) == 3000
-    assert {r["nb_film"] for r in rows if r["primaryName"] == "P nm00000"} == {2000}
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "isFinalPlan=true" in final and "skew=true" in final
+    principals += [(f"tt{i:05d}", f"nm{1 + i % 50:05d}", "director") for i in range(2000, 3000)]
+    return film_tables(spark, title_basics=titles, title_akas=[(x[0], "FR") for x in titles],
+                       title_ratings=[(x[0], "6.0", "5") for x in titles],
+                       title_principals=principals, name_basics=[person(f"nm{i:05d}") for i in range(51)])
+
+
+def test_hot_person_of_stored_credits_is_dealt_to_several_tasks(spark, no_broadcast):
+    """M7, M8, M9 on stored credits: the person join deals a hot person out by
+    hand, whatever the settings are."""
+    from cinespark.operators.salting import SALTS
+    from cinespark.plans import features
+    from cinespark.session import materialize
+
+    credits = materialize(marts.credits_base(hot_tables(spark)), "hot")
+    for df in (features.cast_distribution(credits, 1, 1), marts.actor_mart(credits), marts.director_mart(credits)):
+        assert "__salt" in _plan(df).split("SortMergeJoin [nconst")[1].split("\n")[0]
+    got = features.cast_distribution(credits, 1, 1).collect()
+    assert len(got) == 3000 and {r["nb_film"] for r in got if r["primaryName"] == "P nm00000"} == {2000}
+    dealt = credits.withColumn("s", F.pmod(F.xxhash64(*credits.columns), F.lit(SALTS))).groupBy("nconst", "s").count()
+    assert dealt.agg(F.max("count")).first()[0] < 2000 / 4
+
+
+def test_credit_join_is_split_at_runtime(spark, skew_conf):
+    """M1: both sides of the person join are plain shuffles, so AQE splits it
+    without forceOptimizeSkewedJoin."""
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+    try:
+        df = marts.credits_base(hot_tables(spark))
+        assert len(df.collect()) == 3000
+        final = _plan(df).split("Initial Plan")[0]
+        assert "SortMergeJoin(skew=true) [nconst" in final
+    finally:
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
+def test_scans_read_only_what_they_use(spark):
+    s = Q.serving(spark, SF)
+    schema = _plan(facets.count_by(s, "genre", genres=["blue"], notes=[5])).split("ReadSchema: ")[1].split("\n")[0]
+    assert schema == "struct<averagerating:double,genre:string>"
+    plan = _plan(facets.age_by_sex(s, genres=["blue"]))
+    assert "primaryName" not in plan and "film_per_decade" not in plan
+    for key, part in (("serving_scan_movie", "GreaterThan(decade,0)"), ("serving_scan_actor", "GreaterThan(nb_film"),
+                      ("serving_scan_director", "GreaterThan(age,0)")):
+        plan = _plan(Q.QUERIES[key](spark, SF))
+        assert part in plan and "Join" not in plan and "Exchange" not in plan
+
+
+def test_materialize_is_one_write(spark):
+    from cinespark.session import materialize
+    spark.sparkContext.setJobGroup("one-write", "")
+    materialize(spark.range(100).repartition(3).groupBy((F.col("id") % 7).alias("k")).count())
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("one-write")
+    spark.sparkContext.setJobGroup("plain", "")
+    spark.range(100).repartition(3).groupBy((F.col("id") % 7).alias("k")).count().write.format("noop").mode("overwrite").save()
+    assert len(jobs) == len(spark.sparkContext.statusTracker().getJobIdsForGroup("plain"))
+    spark.sparkContext.setJobGroup("rest", "")
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+    from cinespark.session import checkpoint_dir
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
+
+
+def test_tables_are_derived_when_asked_for_and_again_when_the_input_changes(spark, tmp_path):
+    import os
+    import shutil
+    from cinespark.plans.catalog import load_film_tables
+    src = tmp_path / "in"
+    shutil.copytree(SF, src)
+    os.chmod(src, 0o755)
+    one = load_film_tables(spark, str(src))
+    assert one.title_ratings.count() > 0 and set(one._kept) == {"title_ratings"}
+    assert load_film_tables(spark, str(src)) is one
+    os.utime(src / "part.parquet", (1, 1))
+    assert load_film_tables(spark, str(src)) is not one
+
+
+def test_long_ids_stay_apart(spark):
+    from cinespark.sources import fixtures
+    from cinespark.oracles import FIXTURE_CTES
+    keys = [7, 1_000_000, 10_000_000, 10_000_009, 123_456_789_012]
+    df = spark.createDataFrame([(k,) for k in keys], "p_partkey long").select(fixtures._id("tt", F.col("p_partkey")).alias("i"))
+    got = [r.i for r in df.collect()]
+    expr = FIXTURE_CTES.split("SELECT ")[1].split(" AS tconst")[0]
+    con = duck(SF)
+    want = [con.execute(f"SELECT {expr} FROM (SELECT {k}::BIGINT AS p_partkey)").fetchone()[0] for k in keys]
+    assert got == want and len(set(got)) == 5 and got[0] == "tt0000007" and got[-1] == "tt123456789012"
 
 
 def test_no_registered_plan_has_a_cross_join(spark):
     """Every join of every registered query is an equi-join: no cartesian
     product and no nested-loop join, even with broadcasts off."""
     bad = {}
-    q = E.queries()
+    q = Q.QUERIES
     for key in q:
         df = q[key](spark, SF)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
