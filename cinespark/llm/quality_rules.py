@@ -79,8 +79,8 @@ def _solid(s: Column) -> Column:
     return F.length(_without(s, " \t\n\x0b\x0c\r"))
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``judged``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+def judgement(text: str = "text") -> Column:
+    """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     lines_removed, kept_chars, clean_text and kept."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     stats = _bind(_words(t), lambda w: F.struct(F.size(w).cast("long").alias("n_words"),
@@ -105,15 +105,23 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
             left.cast("long").alias("kept_chars"), clean.alias("clean_text"),
             (~failed & (left >= MIN_KEPT * chars)).alias("kept"))
 
-    return docs.withColumn("judged", _bind(
-        stats, lambda s: _bind(by_lines(F.split(t, "\n")), lambda ln: verdict(s, ln))))
+    return _bind(stats, lambda s: _bind(by_lines(F.split(t, "\n")), lambda ln: verdict(s, ln)))
+
+
+def judge(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``judged``, the ``judgement`` of each text."""
+    if "judged" in docs.columns:
+        raise ValueError("the column name 'judged' is taken by this operator")
+    return docs.withColumn("judged", judgement(text))
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents that pass, without their failing lines; the columns stay as they were."""
     if "judged" in docs.columns:
         raise ValueError("the column name 'judged' is taken by this operator")
-    out = judge(docs, text).filter(F.col("judged.kept"))
+    # one generator judges and filters, so no text is judged twice
+    passed = F.explode(F.filter(F.array(judgement(text)), lambda j: j["kept"]))
+    out = docs.select("*", passed.alias("judged"))
     cols = {text: F.col("judged.clean_text")}
     if "n_chars" in docs.columns:
         cols["n_chars"] = F.length("judged.clean_text").cast("long")
