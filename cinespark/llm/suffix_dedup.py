@@ -39,6 +39,7 @@ WINDOW = 50
 GRAM = 24
 GROUP_BYTES = 16 << 20
 SHARD = 1 << 20
+SORT_BYTES = 1 << 20      # segments sorted together, or all of one anchor
 SALTS = 32                # parts of a group of copies in the join that tells them
 
 
@@ -191,26 +192,41 @@ def classes(bodies: list[bytes], least: np.ndarray, window: int = WINDOW):
 
 def _sort_segments(key, rows):
     """Least document of every window's class, for each group, as changes along each segment."""
-    pids, bodies, least, owner, hashes = rows.column("pid").to_pylist(), [], [], [], []
+    pids, bodies, least, owner, anchors = rows.column("pid").to_pylist(), [], [], [], []
     seen: dict[bytes, int] = {}
-    for r, (size, body, low) in enumerate(zip(rows.column("size").to_pylist(), rows.column("body").to_pylist(), rows.column("least").to_pylist())):
+    for r, (size, body, low, anchor) in enumerate(zip(*(rows.column(c).to_pylist() for c in ("size", "body", "least", "anchor")))):
         ends = np.cumsum(np.frombuffer(size, np.uint32).astype(np.int64))
-        for a, b, o in zip([0, *ends[:-1].tolist()], ends.tolist(), np.frombuffer(low, np.int64).tolist()):
+        for a, b, o, h in zip([0, *ends[:-1].tolist()], ends.tolist(), np.frombuffer(low, np.int64).tolist(),
+                              np.frombuffer(anchor, np.uint64).tolist()):
             s = body[a:b]
             j = seen.setdefault(s, len(bodies))
             if j == len(bodies):
                 bodies.append(s)
                 least.append(o)
+                anchors.append(h)
             least[j] = min(least[j], o)
             owner.append((r, j))
-    seg, place, low = classes(bodies, np.array(least, np.int64))
-    new = np.ones(len(seg), bool)
-    new[1:] = (seg[1:] != seg[:-1]) | (low[1:] != low[:-1])
-    seg, place, low = seg[new], place[new], low[new]
+    # equal windows have one anchor, so parts between anchors are sorted one after the other
+    order = np.argsort(np.array(anchors, np.uint64), kind="stable")
+    moved = np.empty(len(order), np.int64)
+    moved[order] = np.arange(len(order))
+    bodies, least = [bodies[i] for i in order], np.array(least, np.int64)[order]
+    anchors = np.array(anchors, np.uint64)[order]
+    found, x, size = [], 0, 0
+    for i in range(len(bodies)):
+        size += len(bodies[i])
+        if i + 1 == len(bodies) or size >= SORT_BYTES and anchors[i + 1] != anchors[i]:
+            seg, place, low = classes(bodies[x:i + 1], least[x:i + 1])
+            new = np.ones(len(seg), bool)
+            new[1:] = (seg[1:] != seg[:-1]) | (low[1:] != low[:-1])
+            found.append((seg[new] + x, place[new], low[new]))
+            x, size = i + 1, 0
+    seg, place, low = (np.concatenate([f[k] for f in found] + [np.zeros(0, np.int64)]) for k in range(3))
     first = np.searchsorted(seg, np.arange(len(bodies) + 1))
     buf, offsets = joined(bodies)
     hashes = span_hashes(buf, offsets[:-1], offsets[1:] - 1)
     r, j = (np.array(x, np.int64) for x in zip(*owner)) if owner else (np.zeros(0, np.int64),) * 2
+    j = moved[j]
     out = {"pid": [], "hash": [], "place": [], "low": []}
     for row, pid in enumerate(pids):
         js = j[r == row] if len(pids) < 64 else j[np.searchsorted(r, row):np.searchsorted(r, row + 1)]
