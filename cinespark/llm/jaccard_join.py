@@ -145,6 +145,18 @@ def _roots(n: int, links) -> np.ndarray:
     return np.array([find(i) for i in range(n)])
 
 
+def _reached(link: np.ndarray) -> np.ndarray:
+    """Least member of each one's connected set; link: symmetric matrix."""
+    root = np.full(len(link), -1)
+    for i in range(len(link)):
+        if root[i] < 0:
+            root[i], front = i, np.array([i])
+            while len(front):
+                front = np.flatnonzero(link[front].any(0) & (root < 0))
+                root[front] = i
+    return root
+
+
 def _bucket_edges(least: list[int]):
     def edges(key, rows):
         rows = rows.sort_by([("band", "ascending"), ("i", "ascending"), ("j", "ascending"), ("cls", "ascending")])
@@ -188,16 +200,16 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     head = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
     count = np.diff(np.append(head, len(value)))
     head, count = head[count > 1], count[count > 1]
-    common = np.zeros((n, n), np.int64)
+    common = np.zeros((n, n), np.int32)                              # one matrix and one addend at a time
     if (count.astype(np.float64) ** 2).sum() * 8 <= float(n) * n * len(head) or n < 16:
         for c in np.unique(count).tolist():                          # few have each shingle: count their pairs
             x, y = np.triu_indices(c, 1)
             rows = head[count == c]
-            step = max(1, (1 << 22) // len(x))
+            step = max(1, (1 << 20) // len(x))
             for k in range(0, len(rows), step):
                 o = owner[rows[k:k + step, None] + np.arange(c)]
-                pairs = np.bincount((o[:, x] * n + o[:, y]).ravel(), minlength=n * n).reshape(n, n)
-                common += pairs + pairs.T
+                np.add.at(common, (o[:, x].ravel(), o[:, y].ravel()), 1)
+        common += common.T.copy()
     else:
         for k in range(0, len(head), 2048):                          # many have it: products of incidence rows
             h, c = head[k:k + 2048], count[k:k + 2048]
@@ -205,7 +217,7 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
             at = np.repeat(h - (np.cumsum(c) - c), c) + np.arange(c.sum())
             m = np.zeros((n, len(h)), np.float32)
             m[owner[at], col] = 1
-            common += np.rint(m @ m.T).astype(np.int64)
+            np.add(common, m @ m.T, out=common, casting="unsafe")
     np.fill_diagonal(common, size)
     return common
 
@@ -223,10 +235,14 @@ def _verify(threshold: float):
             sets = [np.frombuffer(b, np.uint64) for b in blobs[x:y]]
             size = np.fromiter(map(len, sets), np.int64, y - x)
             common = common_counts(sets)
-            link = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
-            np.fill_diagonal(link, False)
-            across = link if i[x] == j[x] else link & (own[x:y, None] != own[None, x:y])  # each pair in one task
-            roots = _roots(y - x, ((k, np.flatnonzero(across[k])) for k in range(y - x)))
+            across = np.empty(common.shape, bool)
+            for k in range(0, y - x, 256):
+                part = common[k:k + 256]
+                across[k:k + 256] = part >= threshold * (size[k:k + 256, None] + size[None, :] - part) - 1e-9
+            np.fill_diagonal(across, False)
+            if i[x] != j[x]:
+                across &= own[x:y, None] != own[None, x:y]           # each pair in one task
+            roots = _reached(across)
             out["cls"] += cls[x:y]
             out["links"] += across.sum(1).tolist()
             out["other"] += [cls[x + r] for r in roots.tolist()]
