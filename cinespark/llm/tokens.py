@@ -23,13 +23,18 @@ class _Unsafe(Exception):
 
 
 class _Cache(dict):
+    """At most ``limit`` values: when half are new, the older half goes, but for those asked again."""
+
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.half, self.older = make, max(1, limit // 2), {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(self) >= self.limit:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -50,7 +55,7 @@ def _byte_chars() -> list[str]:
 class Encoder:
     """``encode(text)``: ids as little-endian bytes of ``dtype`` (16 bits where the vocabulary allows)."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
