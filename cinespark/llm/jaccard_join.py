@@ -201,23 +201,24 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     count = np.diff(np.append(head, len(value)))
     head, count = head[count > 1], count[count > 1]
     common = np.zeros((n, n), np.int32)                              # one matrix and one addend at a time
-    if (count.astype(np.float64) ** 2).sum() * 8 <= float(n) * n * len(head) or n < 16:
-        for c in np.unique(count).tolist():                          # few have each shingle: count their pairs
-            x, y = np.triu_indices(c, 1)
-            rows = head[count == c]
-            step = max(1, (1 << 20) // len(x))
-            for k in range(0, len(rows), step):
-                o = owner[rows[k:k + step, None] + np.arange(c)]
-                np.add.at(common, (o[:, x].ravel(), o[:, y].ravel()), 1)
-        common += common.T.copy()
-    else:
-        for k in range(0, len(head), 2048):                          # many have it: products of incidence rows
-            h, c = head[k:k + 2048], count[k:k + 2048]
-            col = np.repeat(np.arange(len(h)), c)
-            at = np.repeat(h - (np.cumsum(c) - c), c) + np.arange(c.sum())
-            m = np.zeros((n, len(h)), np.float32)
-            m[owner[at], col] = 1
-            np.add(common, m @ m.T, out=common, casting="unsafe")
+    many = (count.astype(np.float64) ** 2 * 16 > float(n) * n) & (n >= 16)
+    rare, few = head[~many], count[~many]
+    for c in np.unique(few).tolist():                                # few have it: count their pairs
+        x, y = np.triu_indices(c, 1)
+        rows = rare[few == c]
+        step = max(1, (1 << 20) // len(x))
+        for k in range(0, len(rows), step):
+            o = owner[rows[k:k + step, None] + np.arange(c)]
+            np.add.at(common, (o[:, x].ravel(), o[:, y].ravel()), 1)
+    common += common.T.copy()
+    head, count = head[many], count[many]
+    for k in range(0, len(head), 2048):                              # many have it: products of incidence rows
+        h, c = head[k:k + 2048], count[k:k + 2048]
+        col = np.repeat(np.arange(len(h)), c)
+        at = np.repeat(h - (np.cumsum(c) - c), c) + np.arange(c.sum())
+        m = np.zeros((n, len(h)), np.float32)
+        m[owner[at], col] = 1
+        np.add(common, m @ m.T, out=common, casting="unsafe")
     np.fill_diagonal(common, size)
     return common
 
