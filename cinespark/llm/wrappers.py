@@ -3,7 +3,7 @@
 A page becomes a stream of block tags and text slots. The wrapper of a host is a union-free expression over
 such streams, found by aligning one stream after the other, element by element: neighbours of one tag become a
 repeated group, elements that one side lacks become optional groups, texts that differ become slots, and equal
-texts stay constants. Alignment of two wrappers gives a wrapper, so tasks reduce their pages per host first
+texts stay constants, as long as all but a few of the host's distinct pages carry them. Alignment of two wrappers gives a wrapper, so tasks reduce their pages per host first
 and one row for each (host, task) is aligned at the end, however many pages a host has.
 
 A wrapper then says where the main text is: the groups named as article or main, or else the deepest group
@@ -16,6 +16,7 @@ host belongs to the host ''; repeated pages are one page for the constants; othe
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import json
 import re
@@ -47,6 +48,7 @@ FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "sear
 MAIN_TAGS = {"article", "main"}
 MAIN_WORDS = {"article", "main", "content", "post", "entry", "story", "maincontent", "articlebody", "entrycontent", "postcontent", "postbody"}
 CONSTANT_PAGES = 5        # distinct pages of a host from which an equal text counts as a constant
+CONSTANT_SHARE = 0.9      # of a host's distinct pages that carry a constant
 MAIN_SHARE = 0.6          # of the slots' text that an unnamed main group holds
 _VARIES = 0
 
@@ -148,21 +150,21 @@ def blocks(page: str):
     return out
 
 
-# -- wrappers: [signature, children, repeated, optional, constant, text mass], a text slot has the signature #
+# -- wrappers: [signature, children, repeated, optional, constant, text mass, pages], a text slot has the signature #
 
 
 def _slot(text: str):
-    return ["#", [], False, False, zlib.crc32(text.encode("utf-8", "surrogatepass")) | 1 << 32, len(text)]
+    return ["#", [], False, False, zlib.crc32(text.encode("utf-8", "surrogatepass")) | 1 << 32, len(text), 1]
 
 
 def page_wrapper(page: list[tuple[tuple[str, ...], str]]):
     """The stream of one page as a wrapper; neighbouring elements of one signature are aligned into a repeated group."""
-    root = ["", [], False, False, None, 0]
+    root = ["", [], False, False, None, 0, 1]
     for path, text in page:
         node = root
         for signature in path:
             if not node[1] or node[1][-1][0] != signature:
-                node[1].append([signature, [], False, False, None, 0])
+                node[1].append([signature, [], False, False, None, 0, 1])
             node = node[1][-1]
         node[1].append(_slot(text))
     return _fold(root)
@@ -181,8 +183,8 @@ def _fold(node):
 
 
 def align(a, b):
-    """The wrapper that covers both."""
-    out = [a[0], [], a[2] or b[2], a[3] or b[3], a[4] if a[4] == b[4] else _VARIES, a[5] + b[5]]
+    """The wrapper that covers both. Pages add up; inside a repeated group, where they do not, nothing is constant."""
+    out = [a[0], [], a[2] or b[2], a[3] or b[3], a[4] if a[4] == b[4] else _VARIES, a[5] + b[5], a[6] + b[6]]
     x, y = a[1], b[1]
     if [n[0] for n in x] == [n[0] for n in y]:
         out[1] = [align(p, q) for p, q in zip(x, y)]
@@ -264,7 +266,7 @@ def rules(root, pages: int) -> dict:
     def fixed(node, path, free):
         for child in node[1]:
             if child[0] == "#":
-                if child[4] == _VARIES or child[2] or not free:
+                if child[4] == _VARIES or child[2] or not free or child[6] < CONSTANT_SHARE * pages:
                     slots[0] += 1
                 else:
                     constants.append((path, child[4]))
@@ -294,17 +296,19 @@ def main_text(page: str | None, rule: dict | None) -> str:
     return ""
 
 
+def _streams(batches):
+    """Pages without their texts; the digest tells pages whose blocks differ."""
+    for batch in batches:
+        found = [blocks(page) for page in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([hashlib.md5(json.dumps(f).encode()).digest() for f in found], pa.binary()),
+             pa.array([json.dumps(page_wrapper(f), separators=(",", ":")) for f in found], pa.string())], names=["host", "digest", "wrapper"])
+
+
 def _infer(batches):
     found: dict[str, list] = {}
-    seen: set[tuple[str, int]] = set()
     for batch in batches:
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            raw = page.encode("utf-8", "surrogatepass")
-            digest = (host, zlib.crc32(raw) << 32 | zlib.adler32(raw))
-            if digest in seen:
-                continue
-            seen.add(digest)
-            wrapper = page_wrapper(blocks(page))
+        for host, wrapper in zip(batch.column(0).to_pylist(), map(json.loads, batch.column(1).to_pylist())):
             found[host] = [align(found[host][0], wrapper), found[host][1] + 1] if host in found else [wrapper, 1]
     yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([json.dumps(w) for w, _ in found.values()], pa.string()),
                                       pa.array([n for _, n in found.values()], pa.int64())], names=["host", "wrapper", "pages"])
@@ -326,7 +330,9 @@ def host_of(url):
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """host, pages, pattern (the union-free expression) and rules (JSON) of every host."""
     streams = pages.filter(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), "html")
-    return streams.mapInArrow(_infer, "host string, wrapper string, pages long").groupBy("host").applyInArrow(
+    distinct = (streams.mapInArrow(_streams, "host string, digest binary, wrapper string").dropDuplicates(["host", "digest"])
+                .select("host", "wrapper"))
+    return distinct.mapInArrow(_infer, "host string, wrapper string, pages long").groupBy("host").applyInArrow(
         _reduce, "host string, pages long, pattern string, rules string")
 
 
