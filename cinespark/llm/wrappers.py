@@ -8,7 +8,8 @@ and one row for each (host, task) is aligned at the end, however many pages a ho
 
 A wrapper then says where the main text is: the groups named as article or main, or else the deepest group
 that holds most of the slots' text, without groups named as page furniture (menus, headers, footers, sidebars,
-notices, adverts, forms, comments) and without constants. Extraction walks a page by these paths.
+notices, adverts, forms, comments) and without constants. Article and main tags and roles win over furniture names, and so
+does a group with most of the slots' text where no main group stands outside of it. Extraction walks a page by these paths.
 
 Defined results: null or empty html, and pages without text, give the empty text; a null url or one without a
 host belongs to the host ''; repeated pages are one page for the constants; other columns are carried along.
@@ -44,6 +45,13 @@ FURNITURE_WORDS = set(
     "sidebar side aside rail footer foot header masthead topbar notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe "
     "subscription signup login social share sharing related recommended recommendation recommendations comment comments commentlist reply replies respond "
     "disqus discussion search pagination pager toolbar widget copyright legal skip hidden paywall".split())
+#: Words that stand beside a furniture word in the name of furniture (site-header, main-nav, sidebar-left).
+NEUTRAL_WORDS = set(
+    "site page main global top bottom left right primary secondary wrapper wrap container box bar block area section region inner outer list item items link "
+    "links widget widgets button buttons icon icons panel group row col column post posts article articles entry content body form field text title js fixed "
+    "sticky mobile desktop small large first last".split())
+#: First words of names that tell what a page has, belongs to or looks like, not what the element is.
+MODIFIERS = set("has with without no not is category cat tag tags type format status author topic show hide".split())
 FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 MAIN_TAGS = {"article", "main"}
 MAIN_WORDS = {"article", "main", "content", "post", "entry", "story", "maincontent", "articlebody", "entrycontent", "postcontent", "postbody"}
@@ -57,21 +65,41 @@ def _words(value: str) -> list[str]:
     return [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", value or "")]
 
 
+def furniture_name(name: str) -> bool:
+    """Whether a whole class or id names page furniture: a furniture word, with nothing but neutral words beside it."""
+    if re.sub(r"[^a-z]", "", name.lower()) in FURNITURE_WORDS:
+        return True
+    words = _words(name)
+    return bool(words) and words[0] not in MODIFIERS and bool(FURNITURE_WORDS & set(words)) and not set(words) - FURNITURE_WORDS - NEUTRAL_WORDS
+
+
+def main_name(name: str) -> bool:
+    words = _words(name)
+    return bool(words) and words[0] not in MODIFIERS and (bool(MAIN_WORDS & set(words)) or re.sub(r"[^a-z]", "", name.lower()) in MAIN_WORDS)
+
+
 class _Names(dict):
-    """Signature of a start tag: name and class words, ``!`` in front if it is page furniture, ``*`` if it is the main group."""
+    """Signature of a start tag: name and class words, ``!`` in front if tag, role or style make it page furniture, ``~`` if
+    only its class or id does, ``*`` if it is the main group."""
 
     def __missing__(self, key):
         name, raw = key
         attrs = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
         words = _words(attrs.get("class", "")) + _words(attrs.get("id", ""))
-        whole = {re.sub(r"[^a-z]", "", w.lower()) for w in (attrs.get("class", "") + " " + attrs.get("id", "")).split()}
+        names = (attrs.get("class", "") + " " + attrs.get("id", "")).split()
         role = attrs.get("role", "").lower()
         kind = ""
-        if (name in FURNITURE_TAGS or role in FURNITURE_ROLES or FURNITURE_WORDS & (set(words) | whole) or "hidden" in attrs
-                or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""))):
-            kind = "!" if name not in ("html", "body") else ""
-        elif name in MAIN_TAGS or role in ("main", "article") or MAIN_WORDS & (set(words) | whole):
-            kind = "*" if name not in INLINE and name not in ("html", "body") else ""
+        if name in ("html", "body"):
+            pass
+        elif (name in FURNITURE_TAGS and role not in ("main", "article") or role in FURNITURE_ROLES or "hidden" in attrs
+              or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""))):
+            kind = "!"
+        elif name in MAIN_TAGS or role in ("main", "article"):
+            kind = "*"
+        elif any(map(furniture_name, names)):
+            kind = "~"
+        elif any(map(main_name, names)):
+            kind = "*" if name not in INLINE else ""
         value = kind + ".".join([name, *sorted(set(words))[:6]])
         if len(self) > 100_000:
             self.clear()
@@ -132,7 +160,7 @@ def blocks(page: str):
             continue
         signature = _NAMES[name, m[3]]
         if name in INLINE:
-            if signature[0] == "!" and not m[3].endswith("/"):       # furniture inside a block: without its text
+            if signature[0] in "!~" and not m[3].endswith("/"):       # furniture inside a block: without its text
                 close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = close.end() if close else at
                 pieces.append(" ")
@@ -221,28 +249,61 @@ def pattern(node) -> str:
         s = "#TEXT" if node[4] == _VARIES or node[2] else f"#{node[4] & 0xFFFFFFFF:08x}"
     else:
         inner = " ".join(map(pattern, node[1]))
-        s = f"<{node[0].lstrip('!*')}> {inner} </>" if node[0] else inner
+        s = f"<{node[0].lstrip('!~*')}> {inner} </>" if node[0] else inner
     if node[2] or node[3]:
         s = f"( {s} )" + ("+" if node[2] else "") + ("?" if node[3] else "")
     return s
 
 
-def _mass(node) -> int:
-    return 0 if node[0].startswith("!") else node[5] + sum(map(_mass, node[1]))
+def _dropped(path: tuple[str, ...], kept: set) -> bool:
+    """Whether a path leads through furniture; ``kept`` are the paths that only bear the name of furniture."""
+    return any(s[0] == "!" or s[0] == "~" and path[:k + 1] not in kept for k, s in enumerate(path))
+
+
+def _mass(node, path: tuple[str, ...], kept: set | None) -> int:
+    """Text of the slots outside furniture; names alone make no furniture without ``kept``."""
+    if node[0].startswith("!") or kept is not None and node[0].startswith("~") and path not in kept:
+        return 0
+    return node[5] + sum(_mass(c, path + (c[0],), kept) for c in node[1])
+
+
+def _misnamed(root) -> set[tuple[str, ...]]:
+    """Paths of groups with the name of furniture that hold most of the slots' text, with no main group outside of them."""
+    total = _mass(root, (), None)
+    out: set[tuple[str, ...]] = set()
+
+    def main_outside(node) -> bool:
+        return any(c[0][:1] == "*" or main_outside(c) for c in node[1] if c[0][:1] not in ("!", "~"))
+
+    def walk(node, path):
+        for c in node[1]:
+            if c[0] == "#" or c[0].startswith("!"):
+                continue
+            if c[0].startswith("~"):
+                if _mass(c, path + (c[0],), None) < MAIN_SHARE * max(total, 1):
+                    continue
+                out.add(path + (c[0],))
+            walk(c, path + (c[0],))
+
+    if not main_outside(root):
+        walk(root, ())
+    return out
 
 
 def rules(root, pages: int) -> dict:
-    """Paths of the main groups (prefixes of block paths) and constants (path and checksum) of a wrapper."""
-    total = _mass(root)
+    """Paths of the main groups (prefixes of block paths), constants (path and checksum) and misnamed groups of a wrapper."""
+    kept = _misnamed(root)
+    total = _mass(root, (), kept)
     named: list[tuple[tuple[str, ...], int]] = []
 
     def find(node, path):
         for child in node[1]:
-            if child[0] == "#" or child[0].startswith("!"):
+            below = path + (child[0],)
+            if child[0] == "#" or _dropped(below, kept):
                 continue
             if child[0].startswith("*"):
-                named.append((path + (child[0],), _mass(child)))
-            find(child, path + (child[0],))
+                named.append((below, _mass(child, below, kept)))
+            find(child, below)
 
     find(root, ())
     main: list[tuple[str, ...]] = []
@@ -254,9 +315,10 @@ def rules(root, pages: int) -> dict:
     if not main:
         node, path = root, ()
         while True:
-            inner = [c for c in node[1] if c[0] != "#" and not c[0].startswith("!") and c[1]]
-            heavy = max(inner, key=_mass, default=None)
-            if heavy is None or _mass(heavy) < MAIN_SHARE * max(total, 1) or all(c[0] == "#" for c in heavy[1]):
+            inner = [c for c in node[1] if c[0] != "#" and c[1]]
+            weigh = lambda c: _mass(c, path + (c[0],), kept)
+            heavy = max(inner, key=weigh, default=None)
+            if heavy is None or weigh(heavy) < MAIN_SHARE * max(total, 1) or all(c[0] == "#" for c in heavy[1]):
                 break
             node, path = heavy, path + (heavy[0],)
         main = [path]
@@ -270,13 +332,14 @@ def rules(root, pages: int) -> dict:
                     slots[0] += 1
                 else:
                     constants.append((path, child[4]))
-            elif not child[0].startswith("!"):
+            elif not _dropped(path + (child[0],), kept):
                 fixed(child, path + (child[0],), free and not child[2])
 
     fixed(root, (), True)
     if pages < CONSTANT_PAGES or not slots[0]:
         constants = []
-    return {"main": [list(p) for p in sorted(set(main))], "constants": [[list(p), c] for p, c in constants]}
+    return {"main": [list(p) for p in sorted(set(main))], "constants": [[list(p), c] for p, c in constants],
+            "kept": [list(p) for p in sorted(kept)]}
 
 
 def main_text(page: str | None, rule: dict | None) -> str:
@@ -289,7 +352,8 @@ def main_text(page: str | None, rule: dict | None) -> str:
             given = rules(page_wrapper(found), 1)
         main = [tuple(p) for p in given["main"]]
         constants = {(tuple(p), c) for p, c in given["constants"]}
-        text = "\n".join(t for path, t in found if any(path[:len(p)] == p for p in main) and not any(s.startswith("!") for s in path)
+        kept = {tuple(p) for p in given["kept"]}
+        text = "\n".join(t for path, t in found if any(path[:len(p)] == p for p in main) and not _dropped(path, kept)
                          and (not constants or (path, zlib.crc32(t.encode("utf-8", "surrogatepass")) | 1 << 32) not in constants))
         if text:
             return text
