@@ -41,6 +41,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(name: str, columns) -> str:
+    """``name``, with _ in front until no column has it (in either case of letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def shards(texts, limit: int = 4 << 20):
     """(first, end) ranges of consecutive texts holding about ``limit`` bytes; a longer text stands alone."""
     first, size = 0, 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinespark.llm.common import (LAST, LOWER, SOLID, joined, mix, partitions, shards, span_hashes, stored, table, utf8_list,
+from cinespark.llm.common import (LAST, LOWER, SOLID, free_name, joined, mix, partitions, shards, span_hashes, stored, table, utf8_list,
                                   word_spans)
 from cinespark.llm.components import components
 
@@ -84,7 +84,8 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
 def _signatures(batches):
     for batch in batches:
         keys, sizes, sigs, bands = [], [], [], []
-        for s in shingle_sets(utf8_list(batch.column(1))):
+        texts = utf8_list(batch.column(1))
+        for s in shingle_sets(texts):
             m = minhash(s)
             keys.append(set_key(s))
             sizes.append(len(s))
@@ -96,9 +97,9 @@ def _signatures(batches):
                     + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             h = mix(h ^ ((m[:, :, 2].astype(np.uint64) << np.uint64(32)) | m[:, :, 3])).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()),
+            [batch.column(0), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()),
              pa.ListArray.from_arrays(np.arange(0, BANDS * len(keys) + 1, BANDS, dtype=np.int32), pa.array(h.ravel()))],
-            names=["ord", "cls", "n", "sig", "bands"])
+            names=["ord", "digest", "cls", "n", "sig", "bands"])
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -260,13 +261,13 @@ def _sets(batches):
                                           pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per document: doc_id, set_id (least doc_id with an equal shingle set), class_id (least doc_id of all
-    that links lead to), n_links (other shingle sets whose similarity reaches the threshold)."""
+def _classes(docs: DataFrame, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (ord, digest of the text, cls) of the documents, and a row for each shingle set: cls, first (its least ord), n_links, root (one
+    value for all sets that links lead to), class_first (the least ord of these)."""
     spark = docs.sparkSession
     buckets = 4 * partitions(spark)
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), "text")
-    signed = stored(keyed.mapInArrow(_signatures, "ord long, cls binary, n long, sig binary, bands array<long>"))
+    signed = stored(keyed.mapInArrow(_signatures, "ord long, digest binary, cls binary, n long, sig binary, bands array<long>"))
     sets = signed.groupBy("cls").agg(F.min("ord").alias("first"), F.first("n").alias("n"),
                                      F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     sets = stored(sets)
@@ -293,7 +294,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     named = (sets.select("cls", "first").join(links.filter("n_links > 0"), "cls", "left").join(roots, "cls", "left")
              .select("cls", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "cls").alias("root")))
     least = named.filter("n_links > 0").groupBy("root").agg(F.min("first").alias("class_first"))
-    named = named.join(least, "root", "left").select("cls", "first", "n_links", F.coalesce("class_first", "first").alias("class_first"))
+    named = named.join(least, "root", "left").select("cls", "first", "n_links", "root", F.coalesce("class_first", "first").alias("class_first"))
+    return signed.select("ord", "digest", "cls"), named
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per document: doc_id, set_id (least doc_id with an equal shingle set), class_id (least doc_id of all
+    that links lead to), n_links (other shingle sets whose similarity reaches the threshold)."""
+    signed, named = _classes(docs, threshold, tolerance)
     null_last = lambda c: F.when(F.col(c) != LAST, F.col(c))
     return signed.select("ord", "cls").join(named, "cls").select(
         null_last("ord").alias("doc_id"), null_last("first").alias("set_id"), null_last("class_first").alias("class_id"), "n_links")
@@ -304,8 +312,16 @@ def op7_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the least doc_id of each class; of rows that repeat a doc_id one stays."""
-    first = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("_kept")).distinct()
-    one = docs.withColumn("_kept", F.coalesce("doc_id", F.lit(LAST))).dropDuplicates(["_kept"])
-    return one.join(first, "_kept", "left_semi").select(docs.columns)
+    """One document of each class: the one with the least (doc_id, text digest), null doc_ids after all others; of rows
+    that repeat both one stays. Texts without a word are one class."""
+    signed, named = _classes(docs, THRESHOLD, TOLERANCE)
+    # the least row of each shingle set, then of each class; narrow rows only
+    least = signed.groupBy("cls").agg(F.min(F.struct("ord", "digest")).alias("least"))
+    kept = least.join(named.select("cls", "root"), "cls").groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.ord").alias("ord"), F.col("least.digest").alias("digest"))
+    kept = stored(kept)
+    key = F.struct(F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"))
+    name = free_name("kept", docs.columns)
+    one = docs.withColumn(name, key)
+    return (one.join(kept.select(F.struct("ord", "digest").alias(name)), name, "left_semi")
+            .dropDuplicates([name]).select([f"`{c}`" for c in docs.columns]))
