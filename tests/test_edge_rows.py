@@ -3,7 +3,7 @@ homonyms, ties, repairs."""
 
 from pyspark.sql import functions as F
 
-from conftest import SENT, film_tables, person, title
+from film_rows import SENT, film_tables, person, title
 from cinespark.plans import facets, features, marts
 from cinespark.plans.pipeline import FilmPipeline
 from cinespark.sources.serving import Serving

@@ -4,7 +4,7 @@ brute-force checks of the wide one-hot against pandas."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SENT, film_tables, person, title
+from film_rows import SENT, film_tables, person, title
 from cinespark.functions.columns import feature_name_py
 from cinespark.plans import features, marts
 from cinespark.plans.catalog import load_film_tables

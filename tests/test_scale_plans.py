@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import film_tables, person, title
+from film_rows import film_tables, person, title
 from oracle_check import compare, duck
 from cinespark import queries as Q
 from cinespark.plans import facets, marts
