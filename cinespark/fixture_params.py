@@ -14,6 +14,8 @@ SELECT_RANK = 3            # people with rank <= 3 form the D1/D2/D7 selections
 GENRES = ["blue", "ring", "Sci-Fi", "News"]
 DECADES = [1970, 1980, 1990]
 NOTES = [4, 5, 6]
+DEEP_PAGE = 12             # D8: page numbers jumped to, without and with facet filters
+DEEP_PAGE_FILTERED = 2
 # feature names of all genres of the fixture data (p_name words and the two fixed ones)
 GENRE_VOCABULARY = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "news", "old", "plate",
                     "red", "ring", "rod", "sci_fi", "small", "widget"]

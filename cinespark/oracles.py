@@ -249,14 +249,29 @@ def _ml_long(kinds: list[str]) -> str:
                       f"EXCEPT SELECT {ML_KEYS_SQL} FROM ({_ml_pairs(kinds)}))")
 
 
+#: Columns of the people: their features in code point order, numbered from 0.
+ML_NAMES = f"""
+ml_names AS (
+  SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx
+  FROM (SELECT DISTINCT {_fname("primaryname")} AS feature FROM ml_rows WHERE primaryname IS NOT NULL))"""
+
+
+def _ml_vectors() -> str:
+    """The columns of each film's people in ascending order, and a 1 for each."""
+    lists = (f"SELECT {ML_KEYS_SQL}, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS indices, "
+             f"string_agg('1', ',') AS \"values\" FROM ({_ml_pairs(['name'])}) JOIN ml_names USING (feature) GROUP BY {ML_KEYS_SQL}")
+    return (ML_BASE + f", {ML_NAMES} SELECT f.*, coalesce(v.indices, '') AS indices, coalesce(v.\"values\", '') AS \"values\" "
+            f"FROM ml_films AS f LEFT JOIN ({lists}) AS v USING ({ML_KEYS_SQL})")
+
+
 def _ml_wide(names: bool) -> str:
-    """One column per genre of the vocabulary, and the names as one text."""
+    """One column per genre of the list, and the columns of the people as one text."""
     from cinespark.fixture_params import GENRE_VOCABULARY
     cols = ", ".join(f"coalesce(max(CASE WHEN kind = 'genre' AND feature = '{g}' THEN 1 ELSE 0 END), 0) AS \"{g}\"" for g in GENRE_VOCABULARY)
     if names:
-        cols += ", coalesce(string_agg(feature, '|' ORDER BY feature) FILTER (WHERE kind = 'name'), '') AS names"
-    return ML_BASE + (f"SELECT {ML_KEYS_SQL}, {cols} FROM ml_films LEFT JOIN ({_ml_pairs(['genre', 'name'])}) "
-                      f"USING ({ML_KEYS_SQL}) GROUP BY {ML_KEYS_SQL}")
+        cols += ", coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) FILTER (WHERE kind = 'name'), '') AS name_indices"
+    return ML_BASE + (f", {ML_NAMES} SELECT {ML_KEYS_SQL}, {cols} FROM ml_films LEFT JOIN ({_ml_pairs(['genre', 'name'])}) "
+                      f"USING ({ML_KEYS_SQL}) LEFT JOIN ml_names USING (feature) GROUP BY {ML_KEYS_SQL}")
 
 
 ORACLES["cast_distribution"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE)
@@ -264,7 +279,8 @@ ORACLES["cast_distribution"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE
 ORACLES["movie_cast"] = (with_ctes(CREDITS_CTE, MOVIE_GENRE_CTE, CAST_CTE)
                          + "SELECT * FROM movie_cast")
 ORACLES["ml_genre_onehot"] = _ml_wide(names=False)
-ORACLES["ml_cast_onehot"] = _ml_long(["name"])
+ORACLES["ml_cast_onehot"] = _ml_vectors()
+ORACLES["ml_cast_vocabulary"] = ML_BASE + f", {ML_NAMES} SELECT feature, idx FROM ml_names"
 ORACLES["ml_matrix"] = _ml_wide(names=True)
 ORACLES["ml_matrix_long"] = _ml_long(["genre", "name"])
 
@@ -428,6 +444,8 @@ ORACLES["top_performers_filtered"] = top_performers_sql(30, directors=True, genr
 
 ORACLES["movie_table"] = movie_table_sql(0, 25, genres=G, notes=N)
 ORACLES["movie_table_page1"] = movie_table_sql(1, 25, genres=G, notes=N)
+ORACLES["movie_table_deep"] = movie_table_sql(P.DEEP_PAGE, 25)
+ORACLES["movie_table_deep_filtered"] = movie_table_sql(P.DEEP_PAGE_FILTERED, 25, genres=G, notes=N)
 
 ORACLES["facet_options"] = SERVING_BASE + """
 SELECT 'genre' AS facet, genre AS value, genre AS label FROM (SELECT DISTINCT genre FROM movie_serving)
@@ -455,6 +473,11 @@ UNION ALL SELECT 'title_ratings', true, COUNT(*) FROM title_ratings"""
 ORACLES["csv_sink_titles"] = with_ctes() + """
 SELECT tconst, ' ' || coalesce(primaryTitle, '') || '"x", y;' AS title FROM tb"""
 
+ORACLES["csv_sink_index"] = with_ctes(MOVIE_GENRE_CTE, MOVIE_MART_CTE) + """
+SELECT CAST(row_number() OVER (ORDER BY tconst, genre NULLS LAST, startyear NULLS LAST) - 1 AS VARCHAR) AS index,
+       tconst, coalesce(genre, '-9999') AS genre, CAST(coalesce(startyear, -9999) AS VARCHAR) AS startyear
+FROM movie_mart"""
+
 ORACLES["csv_sink"] = with_ctes(GENRE_STATS_CTE) + """
 SELECT genre, replace(CAST(runtimeminutes AS VARCHAR), '.', ',') AS runtimeminutes,
        replace(CAST(averagerating AS VARCHAR), '.', ',') AS averagerating,

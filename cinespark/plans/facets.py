@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinespark.functions.columns import sex_label
-from cinespark.operators.paging import page_after, top_k
+from cinespark.operators.paging import PageIndex, page_after, top_k
 from cinespark.operators.salting import salted_join
 from cinespark.sources.serving import Serving
 
@@ -219,6 +219,18 @@ def movie_table(s: Serving, genres=None, decades=None, notes=None, actors: Selec
     return page_after(df.select(*TABLE_COLUMNS, "genre"), TABLE_ORDER, page_size, after)
 
 
+def film_pages(s: Serving, page_size: int = PAGE_SIZE) -> PageIndex:
+    """The film table in its order, numbered and stored, with counts by the facets of D1."""
+    rows = s.movies.select(*TABLE_COLUMNS, "genre", F.floor("averagerating").cast("int").alias("note"))
+    return PageIndex(rows, TABLE_ORDER, page_size, ["genre", "decade", "note"])
+
+
+def movie_table_page(pages: PageIndex, n: int, genres=None, decades=None, notes=None) -> DataFrame:
+    """Page ``n`` (from 0) of the film table under the facet filters, jumped to directly."""
+    chosen = [F.col(c).isin(list(v)) for c, v in (("genre", genres), ("decade", decades), ("note", notes)) if v]
+    return pages.page(n, reduce(lambda a, b: a & b, chosen) if chosen else None).select(*TABLE_COLUMNS)
+
+
 # ---------------------------------------------------------------- D9
 
 def facet_options(s: Serving) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from cinespark.functions import columns as C
 from cinespark.operators.counting import with_group_count
+from cinespark.operators.numbering import with_dense_index
 from cinespark.operators.reshape import one_hot
+from cinespark.operators.salting import salted_join
 from cinespark.plans.marts import ACTING, DIRECTING
 
 # Reference thresholds of the ML run.
@@ -71,16 +73,47 @@ def _keys_known(df: DataFrame) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ML_KEYS]))
 
 
-def ml_onehot(movie_cast_rows: DataFrame, genres: list[str], names: bool = False) -> DataFrame:
+def feature_vocabulary(movie_cast_rows: DataFrame, kind: str = "name") -> DataFrame:
+    """(feature, idx): every feature of a kind with its dense place 0, 1, ...
+    in code point order, which is the column it has in the matrix.
+
+    As in the reference the columns come from all rows, also those of films
+    that leave the set for an unknown key. The vocabulary stays a table: it
+    grows with the people and never reaches the driver.
+    """
+    feature = F.col(f"{kind}_feature").alias("feature")
+    known = _ml_rows(movie_cast_rows).select(feature).where(F.col("feature").isNotNull()).distinct()
+    return with_dense_index(known, [F.col("feature").asc()], "idx")
+
+
+def _with_index(rows: DataFrame, vocabulary: DataFrame, kind: str) -> DataFrame:
+    """Rows with the place ``{kind}_idx`` of their feature; a feature in a third of all rows is dealt out."""
+    places = vocabulary.select(F.col("feature").alias(f"{kind}_feature"), F.col("idx").alias(f"{kind}_idx"))
+    return salted_join(rows, places, [f"{kind}_feature"], "left")
+
+
+def ml_sparse(movie_cast_rows: DataFrame, vocabulary: DataFrame, kind: str = "name") -> DataFrame:
+    """One row per film with its 0/1 vector in sparse form (M11b): the nine
+    keys, ``indices`` (ascending places in the vocabulary) and ``values``
+    (a 1 for each). A film without a feature has empty arrays."""
+    pairs = _keys_known(_ml_rows(movie_cast_rows)).select(*ML_KEYS, f"{kind}_feature").distinct()
+    return (_with_index(pairs, vocabulary, kind).groupBy(*ML_KEYS)
+            .agg(F.array_sort(F.collect_list(f"{kind}_idx")).alias("indices"))
+            .withColumn("values", F.transform("indices", lambda i: F.lit(1).cast("tinyint"))))
+
+
+def ml_onehot(movie_cast_rows: DataFrame, genres: list[str], names: DataFrame | None = None) -> DataFrame:
     """One row per film (9 keys) with one 0/1 column for each genre feature
-    of the vocabulary ``genres`` (M11a), and with ``names`` the person
-    features of the film as one sorted text (M11c).
+    of the list ``genres`` (M11a), and with the vocabulary ``names`` the
+    person columns of the film as ``name_indices`` (M11c).
 
-    Genres and names are encoded separately. A genre outside the vocabulary
-    is an error. Names stay a text: their number grows with the people.
+    Genres and names are encoded separately. A genre outside the list is an
+    error. The person columns stay sparse: their number grows with the people.
     """
-    rows = _keys_known(_ml_rows(movie_cast_rows))
-    more = [F.array_join(F.array_sort(F.collect_set("name_feature")), "|").alias("names")] if names else []
+    rows, more = _keys_known(_ml_rows(movie_cast_rows)), []
+    if names is not None:
+        rows = _with_index(rows, names, "name")
+        more = [F.array_sort(F.collect_set("name_idx")).alias("name_indices")]
     return one_hot(rows, ML_KEYS, "genre_feature", genres, *more)
 
 

@@ -14,7 +14,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from cinespark.operators.paging import PageIndex
 from cinespark.plans import facets, features, marts
 from cinespark.plans.catalog import FilmTables
 from cinespark.session import materialize
@@ -91,6 +93,16 @@ class FilmPipeline:
             directors=materialize(self.scan_directors().na.drop(), "serving_director",
                                   sort_within=["Nconst", "tconst"]))
 
+    @cached_property
+    def name_vocabulary(self) -> DataFrame:
+        """Person features with their columns in the ML matrix, stored."""
+        return materialize(features.feature_vocabulary(self.movie_cast, "name"), "name_vocabulary")
+
+    @cached_property
+    def film_pages(self) -> PageIndex:
+        """The film table with the place of every row, stored by blocks of pages."""
+        return facets.film_pages(self.serving)
+
     # ---------------------------------------------------------- job results
     def statistics(self) -> dict[str, DataFrame]:
         """The six outputs of the statistics run, NULLs kept."""
@@ -104,28 +116,33 @@ class FilmPipeline:
         }
 
     def ml_matrix(self, genres: list[str]) -> DataFrame:
-        """The wide ML matrix over a given vocabulary of genre features."""
-        return features.ml_onehot(self.movie_cast, genres, names=True)
+        """The ML matrix over a given list of genre features; people as places in ``name_vocabulary``."""
+        return features.ml_onehot(self.movie_cast, genres, names=self.name_vocabulary)
 
     # ---------------------------------------------------------- sinks
     def write_statistics(self, path: str, fmt: str = "csv") -> dict[str, str]:
-        """Write every output under ``path``; CSV with decimal comma and
-        -9999 for missing cells, or Parquet with NULLs."""
+        """Write every output under ``path``; CSV with decimal comma, -9999
+        for missing cells and the running index, or Parquet with NULLs."""
         out = {}
         small = {"stat_global", "stat_gen_genre", "stat_gen_content"}
         for name, df in self.statistics().items():
             p = f"{path.rstrip('/')}/{name}"
             if fmt == "csv":
-                csv_sink(df, p, sep=",", single_file=name in small)
+                csv_sink(df, p, sep=",", single_file=name in small, index_by=df.columns[:1])
             else:
                 parquet_sink(df, p, range_key="tconst" if name == "movie" else None)
             out[name] = p
         return out
 
     def write_ml(self, path: str, name: str = "df_movie", genres: list[str] | None = None) -> str:
-        """The ML matrix as CSV with ``;``: the long layout, or the wide one
-        over the genre features ``genres``."""
+        """The ML matrix as CSV with ``;`` and the running index: the long
+        layout, or the wide one over the genre features ``genres``, whose
+        person columns are listed in ``{name}_columns``."""
         p = f"{path.rstrip('/')}/{name}"
-        df = self.ml_matrix(genres) if genres else features.ml_onehot_long(self.movie_cast)
-        csv_sink(df, p, sep=";", decimal_comma=False, fill=bool(genres))
+        if genres:
+            df = self.ml_matrix(genres).withColumn("name_indices", F.array_join("name_indices", ","))
+            csv_sink(self.name_vocabulary, f"{p}_columns", sep=";", sort_within=["idx"])
+        else:
+            df = features.ml_onehot_long(self.movie_cast)
+        csv_sink(df, p, sep=";", decimal_comma=False, fill=bool(genres), index_by=["tconst"])
         return p

@@ -128,12 +128,21 @@ def q_ml_genre_onehot(spark, sf_dir):
 
 @query("ml_cast_onehot")
 def q_ml_cast_onehot(spark, sf_dir):
-    return features.ml_onehot_long(pipeline(spark, sf_dir).movie_cast, ("name",))
+    """The person vectors; the arrays are written as text."""
+    p = pipeline(spark, sf_dir)
+    return features.ml_sparse(p.movie_cast, p.name_vocabulary).select(
+        *features.ML_KEYS, F.array_join("indices", ",").alias("indices"), F.array_join("values", ",").alias("values"))
+
+
+@query("ml_cast_vocabulary")
+def q_ml_cast_vocabulary(spark, sf_dir):
+    return features.feature_vocabulary(pipeline(spark, sf_dir).movie_cast)
 
 
 @query("ml_matrix")
 def q_ml_matrix(spark, sf_dir):
-    return pipeline(spark, sf_dir).ml_matrix(P.GENRE_VOCABULARY)
+    wide = pipeline(spark, sf_dir).ml_matrix(P.GENRE_VOCABULARY)
+    return wide.withColumn("name_indices", F.array_join("name_indices", ","))
 
 
 @query("ml_matrix_long")
@@ -214,13 +223,13 @@ def q_movie_table(spark, sf_dir):
     return facets.movie_table(serving(spark, sf_dir), genres=G, notes=N).select(*facets.TABLE_COLUMNS)
 
 
-@query("movie_table_page1")
-def q_movie_table_page1(spark, sf_dir):
-    """The second page: the rows after the last one of the first (one page is collected)."""
-    s = serving(spark, sf_dir)
-    first = facets.movie_table(s, genres=G, notes=N).collect()
-    last = first[-1].asDict() if first else None
-    return facets.movie_table(s, genres=G, notes=N, after=last).select(*facets.TABLE_COLUMNS)
+def _film_page(n: int, **chosen):
+    return lambda spark, d: facets.movie_table_page(pipeline(spark, d).film_pages, n, **chosen)
+
+
+QUERIES["movie_table_page1"] = _film_page(1, genres=G, notes=N)
+QUERIES["movie_table_deep"] = _film_page(P.DEEP_PAGE)
+QUERIES["movie_table_deep_filtered"] = _film_page(P.DEEP_PAGE_FILTERED, genres=G, notes=N)
 
 
 QUERIES["facet_options"] = _dash(facets.facet_options)
@@ -283,6 +292,15 @@ def q_csv_sink_titles(spark, sf_dir):
     return sinks.read_csv_text(spark, path, sep=";")
 
 
+@query("csv_sink_index")
+def q_csv_sink_index(spark, sf_dir):
+    """The film mart with its running index through a file."""
+    path = scratch_path(spark, "csv")
+    sinks.csv_sink(pipeline(spark, sf_dir).movie_mart.select("tconst", "genre", "startyear"), path,
+                   index_by=["tconst", "genre"])
+    return sinks.read_csv_text(spark, path)
+
+
 @query("decimal_comma_cast")
 def q_decimal_comma_cast(spark, sf_dir):
     return sinks.decimal_comma_cast(_genre_csv(spark, sf_dir),

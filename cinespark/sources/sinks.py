@@ -3,9 +3,9 @@
 The reference writes its marts as CSV with a decimal comma (``6.92`` is
 ``"6,92"``), -9999 in every missing cell, and a running index column. Here:
 numbers become decimal-comma text in Spark, NULL becomes -9999 only at the
-sink, and the index is left out (it would need a global order). Large marts
-are written partitioned; ``single_file`` coalesces small statistics to one
-file.
+sink, and ``index_by`` writes the running index as the first column (numbered
+in two passes, no single task). Large marts are written partitioned, in index
+order; ``single_file`` coalesces small statistics to one file.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinespark.functions.columns import decimal_comma_text, decimal_comma_to_double
+from cinespark.operators.numbering import with_dense_index
 from cinespark.plans.marts import fill_missing
 
 #: A quote is doubled and blanks stay, as CSV readers elsewhere expect.
@@ -36,8 +37,17 @@ def to_csv_text(df: DataFrame, decimal_comma: bool = True, fill: bool = True) ->
 
 def csv_sink(df: DataFrame, path: str, sep: str = ",", decimal_comma: bool = True,
              fill: bool = True, single_file: bool = False, encoding: str = "UTF-8",
-             sort_within: list[str] | None = None) -> None:
-    """Write a mart as CSV with a header. ``sep=';'`` is the ML file format."""
+             sort_within: list[str] | None = None, index_by: list[str] | None = None,
+             index_name: str = "index") -> None:
+    """Write a mart as CSV with a header. ``sep=';'`` is the ML file format.
+
+    ``index_by`` adds the 0-based running index as the first column, under
+    the order of these columns and then of all others; equal rows follow one
+    another.
+    """
+    if index_by is not None:
+        order = [F.col(c).asc_nulls_last() for c in [*index_by, *[c for c in df.columns if c not in index_by]]]
+        df = with_dense_index(df, order, index_name).select(index_name, *df.columns)
     text = to_csv_text(df, decimal_comma, fill)
     if single_file:
         text = text.coalesce(1)

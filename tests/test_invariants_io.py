@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from film_rows import SENT, film_tables, person, title
+from cinespark import fixture_params as P
 from cinespark.functions.columns import feature_name_py
 from cinespark.plans import features, marts
 from cinespark.plans.catalog import load_film_tables
@@ -102,12 +103,17 @@ def test_ml_matrix_keeps_genres_and_names_apart(spark):
     genres = ["drama", "news", "sci_fi", "western"]
     got = {r["tconst"]: r for r in p.ml_matrix(genres).collect()}
     mc = p.movie_cast.toPandas()
+    names = {r["idx"]: r["feature"] for r in p.name_vocabulary.collect()}
+    assert [names[i] for i in range(len(names))] == sorted({feature_name_py(x) for x in mc["primaryName"].dropna()})
     assert set(got) == {"tt1", "tt2", "tt4"}
     for k, r in got.items():
         rows = mc[mc["tconst"] == k]
         assert [r[g] for g in genres] == [int(g in {feature_name_py(x) for x in rows["genre"]}) for g in genres]
-        assert r["names"] == "|".join(sorted({feature_name_py(x) for x in rows["primaryName"].dropna()}))
-    assert got["tt2"]["news"] == 0 and "news" in got["tt2"]["names"]
+        assert [names[i] for i in r["name_indices"]] == sorted({feature_name_py(x) for x in rows["primaryName"].dropna()})
+    assert got["tt2"]["news"] == 0 and "news" in [names[i] for i in got["tt2"]["name_indices"]]
+    vectors = {r["tconst"]: r for r in features.ml_sparse(p.movie_cast, p.name_vocabulary).collect()}
+    assert {k: r["name_indices"] for k, r in got.items()} == {k: r["indices"] for k, r in vectors.items()}
+    assert all(r["values"] == [1] * len(r["indices"]) for r in vectors.values())
     with pytest.raises(Exception, match="vocabulary"):
         p.ml_matrix(["drama"]).collect()
     long = {(r["tconst"], r["kind"], r["feature"]) for r in features.ml_onehot_long(p.movie_cast).collect()}
@@ -144,9 +150,14 @@ def test_batch_runs_write_every_output(spark):
     assert set(out) == {"stat_global", "stat_gen_genre", "stat_gen_content", "movie", "actor",
                         "producer"}
     assert sinks.read_csv_text(spark, out["stat_global"]).count() == 1
+    for path in out.values():                       # every file starts with its running index
+        text = sinks.read_csv_text(spark, path)
+        assert text.columns[0] == "index" and sorted(int(r[0]) for r in text.collect()) == list(range(text.count()))
     ml = p.write_ml(scratch_path(spark, "ml"))
     df = sinks.read_csv_text(spark, ml, sep=";")
-    assert df.count() > 0 and "tconst" in df.columns
+    assert df.count() > 0 and df.columns[:2] == ["index", "tconst"]
+    wide = sinks.read_csv_text(spark, p.write_ml(scratch_path(spark, "ml"), genres=P.GENRE_VOCABULARY), sep=";")
+    assert wide.count() == df.select("tconst").distinct().count() and "name_indices" in wide.columns
 
 
 def test_command_line_batch_run(spark):
