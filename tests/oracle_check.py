@@ -14,7 +14,7 @@ import time
 
 import duckdb
 
-STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark"]
+STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark", "embeddings"]
 DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
               "boolean": "BOOLEAN"}
 
