@@ -1,6 +1,6 @@
 """Query keys of this subpackage and their DuckDB SQL."""
 
-from cinespark.llm import (decontaminate, huffman_ids, jaccard_join, langid, lexical, mixing, packing, passages, quality_qda, quality_rules,
+from cinespark.llm import (decontaminate, huffman_ids, jaccard_join, langid, lexical, mixing, negatives, packing, passages, quality_qda, quality_rules,
                            suffix_dedup, wrappers)
 
 QUERIES = {
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_quadratic": quality_qda.op8_quadratic,
     "op9_hilbert_pack": packing.op9_hilbert_pack,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_zone_negatives": negatives.op11_zone_negatives,
     "op12_impact_search": lexical.op12_impact_search,
     "op13_weighted_mix": mixing.op13_weighted_mix,
 }
@@ -21,6 +22,7 @@ QUERIES = {
 ORACLES = {
     "op4_suffix_search": decontaminate.ORACLE,
     "op6_line_rules": quality_rules.ORACLE,
+    "op11_zone_negatives": negatives.ORACLE,
     "op12_impact_search": lexical.ORACLE,
     "op13_weighted_mix": mixing.ORACLE,
 }
