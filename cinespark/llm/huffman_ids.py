@@ -1,18 +1,20 @@
 """Operator 3, token ids as canonical length-limited Huffman code.
 
-``write_ids`` range-sorts the texts by doc_id, turns each into token ids and an end id, counts all ids of
-the corpus, and writes two Parquet tables into a folder: ``codebook`` (id, bits), from which the canonical
-code follows, and ``blocks``. A block holds whole documents of at least BLOCK ids together (a longer one
-stands alone): doc_ids, their numbers of ids, the bit stream, and the bit offset of every LANE-th id. Blocks
-are decoded independently, and within a block all lanes are decoded at the same time by table look-up.
-``read_ids`` gives the ids of every document back.
-
-The ids are sorted and written once before coding; counts reach the driver as one row per used id (bounded
-by the vocabulary), offsets as one row per range partition. Task output is committed by Spark's writers, so
-a lost executor repeats its tasks only.
-
-Defined results: null texts are empty (the end id alone); null doc_ids come after all others; repeated rows
-stay; an empty table gives an empty codebook and no blocks.
+``write_ids`` turns each text into token ids where it is read, counts all ids of the corpus, range-sorts the
+ids by doc_id, and writes two Parquet tables into a folder: ``codebook`` (id, bits), from which the canonical
+code follows, and ``blocks``. A block holds whole documents of BLOCK ids together, with an end id each: the
+range partition and the ids before the block in it, doc_ids, their numbers of ids, the bit stream, and the bit
+offset of every LANE-th id. Blocks are decoded independently, and within a block all lanes are decoded at the
+same time by table look-up. ``read_ids`` gives the ids of every document back.
+
+The ids are written once before they are sorted; texts are never shuffled. Counts reach the driver as one row
+per used id (bounded by the vocabulary), offsets as one row per range partition. Rows of one doc_id (or of
+null) are spread by the hash of their ids. Task output is committed by Spark's writers, so a lost executor
+repeats its tasks only.
+
+Defined results: null texts are empty (the end id alone); null doc_ids come after all others; rows of one
+doc_id stand in the order of the hash of their ids; repeated rows stay; an empty table gives an empty codebook
+and no blocks; other columns are not needed.
 """
 
 from __future__ import annotations
@@ -122,15 +124,10 @@ class Code:
 
 def _tokenize(path: str):
     def run(batches):
-        enc, part, seq, at = encoder(path), TaskContext.get().partitionId(), 0, 0
+        enc = encoder(path)
         for batch in batches:
             blobs = [enc.encode(t or "") for t in batch.column(1).to_pylist()]
-            n = np.array([len(b) // enc.dtype.itemsize + 1 for b in blobs], np.int64)
-            before = at + np.cumsum(n) - n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(n), pa.int32()), pa.array(seq + np.arange(len(n))), batch.column(0), pa.array(n),
-                 pa.array(before), pa.array(blobs, pa.binary())], names=["part", "seq", "ord", "n", "before", "ids"])
-            seq, at = seq + len(n), at + int(n.sum())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["ord", "ids"])
     return run
 
 
@@ -146,33 +143,34 @@ def _count(width: str, size: int):
     return run
 
 
-def _encode(width: str, book, base):
-    def block(rows):
-        ids = np.concatenate([np.append(np.frombuffer(r[4], width), np.array([END], width)) for r in rows])
-        stream, lanes = book.value.encode(ids)
-        part, seq, _, _, _, before = rows[0]
-        return (part, seq, base.value[part] + before, np.array([r[2] for r in rows], "<i8").tobytes(),
-                np.array([r[3] for r in rows], "<i8").tobytes(), stream, lanes.astype("<i8").tobytes())
+def _encode(width: str, book):
+    def block(rows, part, start):
+        ids = [np.append(np.frombuffer(r, width), np.array([END], width)) for _, r in rows]
+        stream, lanes = book.value.encode(np.concatenate(ids))
+        return (part, start, np.array([o for o, _ in rows], "<i8").tobytes(), np.array([len(i) for i in ids], "<i8").tobytes(),
+                stream, lanes.astype("<i8").tobytes()), sum(map(len, ids))
 
     def batch_of(rows):
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(7)], names=[
-            "part", "seq", "start", "docs", "sizes", "stream", "lanes"])
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(6)], names=[
+            "part", "start", "docs", "sizes", "stream", "lanes"])
 
     def run(batches):
-        rows, size = [], 0
+        part, start, rows, size = TaskContext.get().partitionId(), 0, [], 0
+        item = np.dtype(width).itemsize
         for batch in batches:
             out = []
-            for r in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "ord", "n", "ids", "before"))):
-                if rows and (size >= BLOCK or r[0] != rows[-1][0] or r[1] != rows[-1][1] + 1):
-                    out.append(block(rows))
-                    rows, size = [], 0
+            for r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows.append(r)
-                size += r[3]
+                size += len(r[1]) // item + 1
+                if size >= BLOCK:
+                    made, n = block(rows, part, start)
+                    out.append(made)
+                    start, rows, size = start + n, [], 0
             if out:
                 yield batch_of(out)
         if rows:
-            yield batch_of([block(rows)])
+            yield batch_of([block(rows, part, start)[0]])
     return run
 
 
@@ -181,26 +179,24 @@ def write_ids(docs: DataFrame, path: str, out: str) -> None:
     spark = docs.sparkSession
     enc = encoder(path)
     width = enc.dtype.str
-    keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), "text")
-    tokens = stored(keyed.repartitionByRange(partitions(spark), "ord").sortWithinPartitions("ord").mapInArrow(
-        _tokenize(path), "part int, seq long, ord long, n long, before long, ids binary"))
+    tokens = stored(docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), "text").mapInArrow(
+        _tokenize(path), "ord long, ids binary").withColumn("digest", F.xxhash64("ids")))
     counts = np.array([tuple(r) for r in tokens.select("ids").mapInArrow(_count(width, max(enc.size, END + 1)), "id long, count long")
                        .groupBy("id").agg(F.sum("count")).collect()], np.int64).reshape(-1, 2)
     limit = max(16, int(len(counts)).bit_length() + SPARE_BITS)
     code = Code(counts[:, 0], code_lengths(counts[:, 1], limit))
     spark.createDataFrame(list(zip(code.ids.tolist(), code.bits.tolist())), "id long, bits long").coalesce(1).write.parquet(f"{out}/codebook")
-    base, before = {}, 0
-    for part, n in sorted(tuple(r) for r in tokens.groupBy("part").agg(F.sum("n")).collect()):
-        base[part], before = before, before + n
-    tokens.mapInArrow(_encode(width, spark.sparkContext.broadcast(code), spark.sparkContext.broadcast(base)),
-                      "part int, seq long, start long, docs binary, sizes binary, stream binary, lanes binary"
-                      ).write.option("compression", "none").parquet(f"{out}/blocks")
+    ordered = tokens.repartitionByRange(partitions(spark), "ord", "digest").sortWithinPartitions("ord", "digest").select("ord", "ids")
+    (ordered.mapInArrow(_encode(width, spark.sparkContext.broadcast(code)),
+                        "part int, start long, docs binary, sizes binary, stream binary, lanes binary")
+     .write.option("compression", "none").parquet(f"{out}/blocks"))
 
 
-def _decode(book, emit):
+def _decode(book, base, emit):
     def run(batches):
         for batch in (b.slice(k, READ) for b in batches for k in range(0, b.num_rows, READ)):
             starts, docs, sizes, streams, lanes = (batch.column(c).to_pylist() for c in ("start", "docs", "sizes", "stream", "lanes"))
+            starts = [x + base.value[part] for x, part in zip(starts, batch.column("part").to_pylist())]
             sizes = [np.frombuffer(s, "<i8") for s in sizes]
             blocks = [(s, np.frombuffer(x, "<i8"), int(n.sum())) for s, x, n in zip(streams, lanes, sizes)]
             ids = book.value.decode(blocks)
@@ -221,7 +217,12 @@ def _decode(book, emit):
 def _read(spark: SparkSession, out: str, emit, kind: str) -> DataFrame:
     rows = np.array([tuple(r) for r in spark.read.parquet(f"{out}/codebook").collect()], np.int64).reshape(-1, 2)
     book = spark.sparkContext.broadcast(Code(rows[:, 0], rows[:, 1]))
-    return spark.read.parquet(f"{out}/blocks").mapInArrow(_decode(book, emit), f"doc_id long, start long, n_tokens long, ids {kind}")
+    blocks, base, before = spark.read.parquet(f"{out}/blocks"), {}, 0
+    ends = blocks.groupBy("part").agg(F.max_by("sizes", "start"), F.max("start")).collect()
+    for part, sizes, start in sorted(map(tuple, ends)):              # the last block of each range partition
+        base[part], before = before, before + start + int(np.frombuffer(sizes, "<i8").sum())
+    base = spark.sparkContext.broadcast(base)
+    return blocks.mapInArrow(_decode(book, base, emit), f"doc_id long, start long, n_tokens long, ids {kind}")
 
 
 def read_ids(spark: SparkSession, out: str) -> DataFrame:

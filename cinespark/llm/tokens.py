@@ -3,7 +3,8 @@
 Two kinds of tokenizer are recognised from their file, in which a single blank always ends a piece:
 lower-cased words without white space, and byte-level BPE whose pieces take one leading blank. Plain
 words go to the library's BPE model, other pieces to its whole encoder; a text (or tokenizer) for which
-the cut is not safe is encoded as a whole. Ids equal those of ``encode(text, add_special_tokens=False)``.
+the cut is not safe, or in which an added token stands, is encoded as a whole. Ids equal those of
+``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -58,7 +59,6 @@ class Encoder:
     def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.code = "H" if self.size <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
@@ -68,8 +68,10 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.kind = self._kind(spec)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.folded = [t["content"].lower() for t in spec.get("added_tokens") or [] if t.get("normalized")]
         self.words = _Cache(self._word, limit)        # pieces after a blank, or all pieces of the word kind
-        self.bare = _Cache(lambda w: self._letters(w, ""), limit // 2)
+        self.bare = _Cache(lambda w: self._letters(w, ""), limit)
         self.first = _Cache(self._first, 50_000)
 
     @staticmethod
@@ -129,7 +131,7 @@ class Encoder:
         return self._whole(line)
 
     def encode(self, text: str) -> bytes:
-        if self.kind == "whole":
+        if self.kind == "whole" or any(t in text for t in self.added) or self.folded and any(t in text.lower() for t in self.folded):
             return self._whole(text)
         parts = text.split(" ")
         if self.kind == "word":
