@@ -18,11 +18,12 @@ import sys
 from pyspark.sql import SparkSession
 
 from cinespark.plans import features
+from cinespark.plans.catalog import TABLE_FILES
 from cinespark.plans.pipeline import FilmPipeline
 from cinespark.session import build_session
 from cinespark.sources import serving as sv
 from cinespark.sources.check import source_check_path
-from cinespark.sources.tsv import read_tables
+from cinespark.sources.tsv import read_tables, tsv_rejects
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
@@ -40,6 +41,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--director-min", type=int, default=features.DIRECTOR_MIN)
     p.add_argument("--partitions", type=int, default=None,
                    help="spread rows of the unsplittable source files")
+    p.add_argument("--keep-bad-rows", action="store_true",
+                   help="keep rows with missing or extra cells and list them under {out}/rejects; else they are an error")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -52,7 +55,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                source_check_path(spark, args.src, args.ext).filter("NOT present").collect()]
     if missing:
         raise SystemExit(f"missing source tables: {', '.join(missing)}")
-    tables = read_tables(spark, args.src, ext=args.ext, partitions=args.partitions)
+    tables = read_tables(spark, args.src, ext=args.ext, partitions=args.partitions, keep_bad_rows=args.keep_bad_rows, ordinal=True)
+    if args.keep_bad_rows:
+        for file in TABLE_FILES:
+            tsv_rejects(spark, f"{args.src.rstrip('/')}/{file}.{args.ext}").write.mode("overwrite").parquet(f"{args.out}/rejects/{file}")
     pipe = FilmPipeline(tables, as_of_year=args.as_of_year, actor_min=args.actor_min,
                         director_min=args.director_min,
                         serving_actor_min=sv.SERVING_MIN_FILMS,

@@ -409,6 +409,16 @@ ORACLES["facet_filter_directors"] = SERVING_BASE + facet_films(directors=True)
 ORACLES["facet_filter_both"] = SERVING_BASE + facet_films(actors=True, directors=True)
 ORACLES["facet_filter_empty"] = SERVING_BASE + facet_films()
 
+ORACLES["facet_filter_third"] = SERVING_BASE + (
+    f"SELECT f.*, a.primaryName, a.Nconst, a.age, a.sexe FROM ({facet_films(G)}) f "
+    f"JOIN actor_serving a ON f.tconst = a.tconst WHERE CAST(substr(a.Nconst, 3) AS BIGINT) % 3 = 0")
+ORACLES["facet_cube"] = SERVING_BASE + """
+SELECT genre, decade, note, CAST(grouping(genre, decade, note) AS INTEGER) AS level, COUNT(*) AS n,
+       CAST(sum(CAST(averagerating AS DECIMAL(28, 10))) AS DOUBLE) AS averagerating,
+       CAST(sum(numvotes) AS BIGINT) AS numvotes, CAST(sum(runtimeminutes) AS BIGINT) AS runtimeminutes
+FROM (SELECT *, CAST(floor(averagerating) AS INTEGER) AS note FROM movie_serving)
+GROUP BY GROUPING SETS ((), (genre), (decade), (genre, note), (decade, note), (genre, decade), (genre, decade, note))"""
+
 ORACLES["key_numbers"] = key_numbers_sql()
 ORACLES["key_numbers_actors"] = key_numbers_sql(actors=True)
 ORACLES["key_numbers_directors"] = key_numbers_sql(directors=True)
@@ -463,6 +473,21 @@ for _key, _cte in (("read_tables", "tb"), ("read_title_akas", "ta"), ("read_titl
                    ("read_title_principals", "tp"), ("read_name_basics", "nb")):
     ORACLES[_key] = with_ctes() + f"SELECT * FROM {_cte}"
 
+_TITLE_LINE = "concat_ws(chr(9), tconst, titleType, primaryTitle, originalTitle, isAdult, startYear{})"
+ORACLES["read_bad_rows"] = with_ctes() + """
+SELECT tconst, titleType, primaryTitle, originalTitle, isAdult, startYear,
+       CASE WHEN CAST(substr(tconst, 3) AS BIGINT) % 50 <> 0 THEN runtimeMinutes END AS runtimeMinutes,
+       CASE WHEN CAST(substr(tconst, 3) AS BIGINT) % 50 <> 0 THEN genres END AS genres FROM tb"""
+
+ORACLES["read_rejects"] = with_ctes() + f"""
+SELECT 6 AS n_cells, {_TITLE_LINE.format("")} AS record FROM title_basics WHERE CAST(substr(tconst, 3) AS BIGINT) % 50 = 0
+UNION ALL SELECT 10, {_TITLE_LINE.format(", runtimeMinutes, genres, 'more', 'cells'")} FROM title_basics
+WHERE CAST(substr(tconst, 3) AS BIGINT) % 50 <> 0 AND CAST(substr(tconst, 3) AS BIGINT) % 77 = 0"""
+
+ORACLES["person_last_names"] = with_ctes() + """
+SELECT nconst, CASE WHEN CAST(substr(nconst, 3) AS BIGINT) % 7 = 0 THEN 'A ' || primaryName ELSE primaryName END AS primaryName
+FROM nb"""
+
 ORACLES["source_check"] = with_ctes() + """
 SELECT 'name_basics' AS table_name, true AS present, COUNT(*) AS n_rows FROM name_basics
 UNION ALL SELECT 'title_akas', true, COUNT(*) FROM title_akas
@@ -484,4 +509,18 @@ SELECT genre, replace(CAST(runtimeminutes AS VARCHAR), '.', ',') AS runtimeminut
        replace(CAST(numvotes AS VARCHAR), '.', ',') AS numvotes
 FROM genre_stats"""
 
+_MOVIE_KINDS = [("tconst", "s"), ("primarytitle", "s"), ("originaltitle", "s"), ("startyear", "n"), ("decade", "n"),
+                ("runtimeminutes", "n"), ("genres", "s"), ("averagerating", "n"), ("numvotes", "n"), ("genre", "s")]
+
+
+def _as_double(kinds) -> str:
+    return ", ".join(c if k == "s" else f"CAST({c} AS DOUBLE) AS {c}" for c, k in kinds)
+
+
+for _key, _ctes, _mart, _kinds in (
+        ("movie", [MOVIE_GENRE_CTE, MOVIE_MART_CTE], "movie_mart", _MOVIE_KINDS),
+        ("actor", [CREDITS_CTE, ACTOR_MART_CTE], "actor_mart", _ACTOR_KINDS),
+        ("director", [CREDITS_CTE, DIRECTOR_MART_CTE], "director_mart", _DIRECTOR_KINDS)):
+    ORACLES[f"decimal_cast_{_key}"] = with_ctes(*_ctes) + f"SELECT {_as_double(_kinds)} FROM (SELECT {_fill(_kinds)} FROM {_mart})"
+
 ORACLES["decimal_comma_cast"] = with_ctes(GENRE_STATS_CTE) + "SELECT * FROM genre_stats"

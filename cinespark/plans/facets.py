@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from cinespark.functions.columns import sex_label
 from cinespark.operators.paging import PageIndex, page_after, top_k
 from cinespark.operators.salting import salted_join
+from cinespark.plans.cube import cube_mean, cube_rows
 from cinespark.sources.serving import Serving
 
 Selection = Sequence[str] | DataFrame | None
@@ -30,6 +31,7 @@ Selection = Sequence[str] | DataFrame | None
 TOP_N = 30
 PAGE_SIZE = 25
 EXCLUDED_AGE_GENRE = "News"
+LONG_LIST = 1000
 TABLE_COLUMNS = ["tconst", "primarytitle", "startyear", "decade", "runtimeminutes", "genres",
                  "averagerating", "numvotes"]
 
@@ -39,10 +41,21 @@ def _given(sel: Selection) -> bool:
 
 
 def select_people(rows: DataFrame, sel: Selection) -> DataFrame:
-    """Rows of the selected person ids."""
+    """Rows of the selected person ids.
+
+    A short list is an IN filter. A table of ids, or a list of more than
+    LONG_LIST, is a semi join: Spark broadcasts it only where it measures
+    small, and else puts a Bloom filter of the ids on the scan (settings of
+    ``build_session``). The range of a long list is a plain filter besides.
+    """
     if isinstance(sel, DataFrame):
-        return rows.join(sel.select("Nconst").distinct(), "Nconst", "left_semi")
-    return rows.filter(F.col("Nconst").isin(list(sel)))
+        return rows.join(sel.select("Nconst"), "Nconst", "left_semi")
+    if len(sel) <= LONG_LIST:
+        return rows.filter(F.col("Nconst").isin(list(sel)))
+    known = sorted({x for x in sel if x is not None})
+    within = F.col("Nconst").between(known[0], known[-1])
+    ids = rows.sparkSession.createDataFrame([(x,) for x in known], "Nconst string")
+    return rows.filter(within).join(ids.filter(within), "Nconst", "left_semi")
 
 
 # ---------------------------------------------------------------- D1
@@ -94,6 +107,11 @@ def key_numbers(s: Serving, genres=None, decades=None, notes=None,
     showed it for directors only and failed for both); with both it is the
     larger one.
     """
+    if _on_cube(s, actors, directors):
+        out = cube_rows(s.cube, [], genres, decades, notes).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.round(cube_mean("averagerating"), 2).alias("mean_rating"),
+            F.bround(cube_mean("runtimeminutes"), 0).cast("int").alias("mean_runtime"), F.lit(None).cast("int").alias("max_age"))
+        return out.withColumn("n_rows_label", F.format_number("n_rows", 0))
     df = facet_filter(s, genres, decades, notes, actors, directors)
     has_a, has_d = _given(actors), _given(directors)
     if has_a and has_d:
@@ -110,6 +128,11 @@ def key_numbers(s: Serving, genres=None, decades=None, notes=None,
     return out.withColumn("n_rows_label", F.format_number("n_rows", 0))
 
 
+def _on_cube(s: Serving, actors: Selection, directors: Selection) -> bool:
+    """Whether the stored cube answers a view: no person is selected."""
+    return s.cube is not None and not _given(actors) and not _given(directors)
+
+
 def selected_names(s: Serving, actors: Selection = None, directors: Selection = None) -> DataFrame:
     """The selected people of D2, one row each (kind, Nconst, name), actors
     first, ordered by name and id."""
@@ -127,6 +150,8 @@ def selected_names(s: Serving, actors: Selection = None, directors: Selection =
 def count_by(s: Serving, facet: str, genres=None, decades=None, notes=None,
              actors: Selection = None, directors: Selection = None) -> DataFrame:
     """Rows per genre or per decade (D3)."""
+    if _on_cube(s, actors, directors):
+        return cube_rows(s.cube, [facet], genres, decades, notes).groupBy(facet).agg(F.sum("n").alias("n")).orderBy(facet)
     df = facet_filter(s, genres, decades, notes, actors, directors)
     return df.groupBy(facet).agg(F.count(F.lit(1)).alias("n")).orderBy(facet)
 
@@ -136,13 +161,21 @@ def _means(df: DataFrame, by: list[str], cols: list[str], digits: int = 4) -> Da
             .orderBy(*by))
 
 
+def _grouped_means(s: Serving, by: list[str], cols: list[str], genres, decades, notes, actors: Selection = None,
+                   directors: Selection = None, digits: int = 4) -> DataFrame:
+    """Means of film columns per group, from the cube where no person is selected."""
+    if _on_cube(s, actors, directors):
+        return (cube_rows(s.cube, by, genres, decades, notes).groupBy(*by)
+                .agg(*[F.round(cube_mean(c), digits).alias(c) for c in cols]).orderBy(*by))
+    return _means(facet_filter(s, genres, decades, notes, actors, directors), by, cols, digits)
+
+
 def rating_votes(s: Serving, genres=None, decades=None, notes=None, actors: Selection = None,
                  directors: Selection = None, view: str = "genre") -> DataFrame:
     """Mean rating and votes per (decade, genre) if decades are listed, else
     per ``view`` (D4)."""
-    df = facet_filter(s, genres, decades, notes, actors, directors)
     by = ["decade", "genre"] if decades else (["decade"] if view == "decade" else ["genre"])
-    return _means(df, by, ["averagerating", "numvotes"])
+    return _grouped_means(s, by, ["averagerating", "numvotes"], genres, decades, notes, actors, directors)
 
 
 def runtime_by(s: Serving, genres=None, decades=None, notes=None, actors: Selection = None,
@@ -150,12 +183,11 @@ def runtime_by(s: Serving, genres=None, decades=None, notes=None, actors: Select
     """Mean runtime per decade (decade view), else per (decade, genre) if
     decades are listed, else per genre (D5). Repair: the decade view keeps
     the note filter."""
-    df = facet_filter(s, genres, decades, notes, actors, directors)
     if view == "decade":
         by = ["decade"]
     else:
         by = ["decade", "genre"] if decades else ["genre"]
-    return _means(df, by, ["runtimeminutes"])
+    return _grouped_means(s, by, ["runtimeminutes"], genres, decades, notes, actors, directors)
 
 
 # ---------------------------------------------------------------- D6
@@ -235,7 +267,9 @@ def movie_table_page(pages: PageIndex, n: int, genres=None, decades=None, notes=
 
 def facet_options(s: Serving) -> DataFrame:
     """Option lists in long form (facet, value, label): genres, notes 1-10,
-    actors and directors (one name per id), decades, and the two views."""
+    actors and directors (one name per id: that of the person's last source
+    row where the serving tables know it, else the greatest), decades, and
+    the two views."""
     spark = s.movies.sparkSession
 
     def opt(df: DataFrame, facet: str, value: Column, label: Column) -> DataFrame:
@@ -247,8 +281,14 @@ def facet_options(s: Serving) -> DataFrame:
     notes = spark.range(1, 11)
     views = spark.range(2).select(F.when(F.col("id") == 0, "decade").otherwise("genre")
                                   .alias("v"))
-    actors = s.actors.groupBy("Nconst").agg(F.max("primaryName").alias("name"))
-    directors = s.directors.groupBy("Nconst").agg(F.max("primaryName").alias("name"))
+    def people(rows: DataFrame) -> DataFrame:
+        named = rows.groupBy("Nconst").agg(F.max("primaryName").alias("name"))
+        if s.names is None:
+            return named
+        last = s.names.select("Nconst", F.col("name").alias("last"))
+        return named.join(last, "Nconst", "left").select("Nconst", F.coalesce("last", "name").alias("name"))
+
+    actors, directors = people(s.actors), people(s.directors)
     parts = [opt(genres, "genre", F.col("genre"), F.col("genre")),
              opt(notes, "note", F.col("id"), F.col("id")),
              opt(actors, "actor", F.col("Nconst"), F.col("name")),

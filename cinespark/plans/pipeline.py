@@ -16,12 +16,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinespark.operators.latest import last_by
 from cinespark.operators.paging import PageIndex
 from cinespark.plans import facets, features, marts
 from cinespark.plans.catalog import FilmTables
-from cinespark.session import materialize
+from cinespark.plans.cube import facet_cube
+from cinespark.session import materialize, materialize_together
 from cinespark.sources import serving as sv
 from cinespark.sources.sinks import csv_sink, parquet_sink
+from cinespark.sources.tsv import ORDINAL
 
 
 class FilmPipeline:
@@ -87,11 +90,22 @@ class FilmPipeline:
     def serving(self) -> sv.Serving:
         """The three serving tables, stored (the dashboard's snapshot); rows
         with a NULL are dropped here, once."""
-        return sv.Serving(
-            movies=materialize(self.scan_movies().na.drop(), "serving_movie", sort_within=["decade", "genre"]),
-            actors=materialize(self.scan_actors().na.drop(), "serving_actor", sort_within=["Nconst", "tconst"]),
-            directors=materialize(self.scan_directors().na.drop(), "serving_director",
-                                  sort_within=["Nconst", "tconst"]))
+        kept = materialize_together(
+            {"serving_movie": self.scan_movies().na.drop(), "serving_actor": self.scan_actors().na.drop(),
+             "serving_director": self.scan_directors().na.drop()}, "tconst", "decade",
+            {"serving_movie": ["genre"], "serving_actor": ["Nconst"], "serving_director": ["Nconst"]})
+        movies = kept["serving_movie"]
+        return sv.Serving(movies=movies, actors=kept["serving_actor"], directors=kept["serving_director"],
+                          cube=materialize(facet_cube(movies), "facet_cube"), names=self.person_names)
+
+    @cached_property
+    def person_names(self) -> DataFrame | None:
+        """(Nconst, name): the name in each person's last source row, if the rows carry their place in the source."""
+        people = self.tables.name_basics
+        if ORDINAL not in people.columns:
+            return None
+        return materialize(last_by(people.select(F.col("nconst").alias("Nconst"), F.col("primaryName").alias("name"), ORDINAL),
+                                   ["Nconst"], ["name"], ORDINAL), "person_names")
 
     @cached_property
     def name_vocabulary(self) -> DataFrame:

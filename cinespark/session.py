@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter for the plans in this package. AQE re-plans joins at
 # runtime (broadcast when a side measures small, split skewed partitions) and
@@ -20,6 +21,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Bloom filters of the ids on a join's small side prune scans of this size on
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -98,6 +103,44 @@ def materialize(df, name: str = "table", sort_within: list[str] | None = None):
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A bucket may hold this many times its even share before rows are left unbucketed.
+BUCKET_SKEW = 4
+
+
+def materialize_together(tables: dict, key: str, partition_by: str, names: dict[str, list[str]]) -> dict:
+    """Write frames that are often joined on ``key`` so that the join needs no
+    shuffle: partitioned by ``partition_by`` (a filter on it lists only its
+    folders) and bucketed and sorted by ``key``; ``names`` gives the columns
+    of each frame to sort by after the key.
+
+    Buckets cannot be split at run time as shuffled partitions can. So the
+    largest number of rows of one key is measured first: where it is more
+    than BUCKET_SKEW even shares of a bucket, the frames are only partitioned
+    and AQE splits the hot key in the shuffle.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = {name: materialize(df, name) for name, df in tables.items()}
+    even = True
+    for df in stored.values():
+        rows, most = df.groupBy(key).count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+        even &= most <= max(1000, BUCKET_SKEW * rows // buckets)
+    out = {}
+    for name, df in stored.items():
+        path = scratch_path(spark, name)
+        order = [key, *[c for c in names.get(name, []) if c != key]]
+        if even:
+            table = f"cinespark_{uuid.uuid4().hex}"
+            (df.repartition(buckets, key).write.partitionBy(partition_by).bucketBy(buckets, key).sortBy(order[0], *order[1:])
+             .option("path", path).saveAsTable(table))
+            spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")  # its size, for broadcasts and Bloom filters
+            out[name] = spark.table(table).select(*df.columns)
+        else:
+            df.sortWithinPartitions(partition_by, *order).write.partitionBy(partition_by).parquet(path)
+            out[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return out
+
+
 def input_version(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files one or two levels below ``path``:
     a key under which results of the same input may be kept."""

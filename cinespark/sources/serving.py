@@ -58,8 +58,11 @@ def read_jdbc_serving(spark: SparkSession, url: str, table: str, predicate: str,
 
 @dataclass
 class Serving:
-    """The three serving tables of the dashboard."""
+    """The three serving tables of the dashboard; the facet cube of the films
+    and the people's names by their last source row, where they are known."""
 
     movies: DataFrame
     actors: DataFrame
     directors: DataFrame
+    cube: DataFrame | None = None
+    names: DataFrame | None = None

@@ -73,8 +73,29 @@ def read_csv_text(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return spark.read.options(sep=sep, inferSchema="false", multiLine="true", **CSV_FORMAT).csv(path)
 
 
-def decimal_comma_cast(df: DataFrame, numeric_columns: list[str]) -> DataFrame:
-    """',' -> '.' and cast to double, in the listed columns only (repair:
-    the reference replaced commas in every text cell, genre lists too)."""
+#: A number as the CSV files write it.
+NUMBER = r"^[+-]?\d+([.,]\d+)?([eE][+-]?\d+)?$"
+
+
+def numeric_columns_of(df: DataFrame) -> list[str]:
+    """The text columns that hold numbers: a cell at least, and no other text.
+
+    One aggregate with two counts a column, merged from the tasks' counts.
+    """
+    text = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    if not text:
+        return []
+    cell = {c: F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")) for c in text}
+    counts = df.agg(*[F.count(cell[c]).alias(f"n{k}") for k, c in enumerate(text)],
+                    *[F.count_if(~cell[c].rlike(NUMBER)).alias(f"t{k}") for k, c in enumerate(text)]).first()
+    return [c for k, c in enumerate(text) if counts[f"n{k}"] and not counts[f"t{k}"]]
+
+
+def decimal_comma_cast(df: DataFrame, numeric_columns: list[str] | None = None) -> DataFrame:
+    """',' -> '.' and cast to double, in the listed columns only, or without
+    a list in every column that holds numbers alone (repair: the reference
+    replaced commas in every text cell, genre lists too)."""
+    if numeric_columns is None:
+        numeric_columns = numeric_columns_of(df)
     return df.select(*[decimal_comma_to_double(c).alias(c) if c in numeric_columns
                        else F.col(c) for c in df.columns])

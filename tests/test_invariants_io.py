@@ -4,10 +4,10 @@ brute-force checks of the wide one-hot against pandas."""
 import pytest
 from pyspark.sql import functions as F
 
-from film_rows import SENT, film_tables, person, title
+from film_rows import RAW_COLUMNS, SENT, film_tables, person, title
 from cinespark import fixture_params as P
 from cinespark.functions.columns import feature_name_py
-from cinespark.plans import features, marts
+from cinespark.plans import facets, features, marts
 from cinespark.plans.catalog import load_film_tables
 from cinespark.plans.pipeline import FilmPipeline
 from cinespark.session import scratch_path
@@ -143,6 +143,57 @@ def test_bad_tsv_rows_are_reported(spark, tmp_path):
     assert [tuple(r) for r in tsv.read_raw_tsv(spark, str(tmp_path / "t.tsv")).collect()] == [("  tt1 ", " FR")]
 
 
+def test_bad_rows_are_kept_and_listed_with_their_place(spark, tmp_path):
+    """Short rows are padded, long ones cut; the list gives file, byte and text (umlauts and an empty line in between)."""
+    files = {"a.tsv": "x\ty\tz\n1\tä\t3\n4\t5\n\n6\t7\t8\t9\n", "b.tsv": "x\ty\tz\nü\tü\tü\n1\n2\t\t\n"}
+    (tmp_path / "in").mkdir()
+    for name, text in files.items():
+        (tmp_path / "in" / name).write_bytes(text.encode())
+    path = str(tmp_path / "in")
+    got = sorted(map(tuple, tsv.read_raw_tsv(spark, path, keep_bad_rows=True).collect()), key=repr)
+    assert got == sorted([("1", "ä", "3"), ("4", "5", None), ("6", "7", "8"), ("ü", "ü", "ü"), ("1", None, None), ("2", None, None)], key=repr)
+    bad = tsv.tsv_rejects(spark, path).collect()
+    assert sorted((r["file"].rsplit("/", 1)[1], r["n_cells"], r["record"]) for r in bad) == [
+        ("a.tsv", 2, "4\t5"), ("a.tsv", 4, "6\t7\t8\t9"), ("b.tsv", 1, "1")]
+    for r in bad:
+        at = files[r["file"].rsplit("/", 1)[1]].encode()[r["offset"]:]
+        assert at.split(b"\n")[0].decode() == r["record"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8")          # blocks within a file
+    try:
+        again = tsv.tsv_rejects(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(map(tuple, again)) == sorted(map(tuple, bad))
+
+
+def test_last_source_row_names_a_person(spark):
+    """Two rows of one person: the later one's name is the option, whatever their alphabetical order."""
+    folder = scratch_path(spark, "last-names")
+    people = [person("nm1", name="Zed"), person("nm2", name="Amy"), person("nm1", name="Bob"), person("nm2", name="Amy")]
+    world = {"title.basics": ("title_basics", [title("tt1"), title("tt2")]), "title.akas": ("title_akas", [("tt1", "FR"), ("tt2", "FR")]),
+             "title.ratings": ("title_ratings", [("tt1", "6.0", "5"), ("tt2", "6.0", "5")]),
+             "title.principals": ("title_principals", [("tt1", "nm1", "actor"), ("tt2", "nm2", "actor"), ("tt2", "nm1", "director")]),
+             "name.basics": ("name_basics", people)}
+    for file, (name, rows) in world.items():
+        raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_COLUMNS[name])).coalesce(1)
+        tsv.write_raw_tsv(raw, f"{folder}/{file}.tsv")
+    t = tsv.read_tables(spark, folder, ext="tsv", register=False, ordinal=True)
+    p = FilmPipeline(t, as_of_year=2020, serving_actor_min=0, serving_director_min=0)
+    options = {(r["facet"], r["value"]): r["label"] for r in facets.facet_options(p.serving).collect()}
+    assert options["actor", "nm1"] == options["director", "nm1"] == "Bob" and options["actor", "nm2"] == "Amy"
+
+
+def test_numeric_columns_are_told_by_their_cells(spark):
+    rows = [("1,5", "Drama,News", "7", None, "-9999", "1e3"), ("-2", "12,5", None, None, "x", "0"), ("", "3", "", None, "2", "+4,25")]
+    df = spark.createDataFrame(rows, "a string, genres string, b string, none string, mixed string, `c.d` string")
+    assert sinks.numeric_columns_of(df) == ["a", "b", "c.d"]
+    got = sinks.decimal_comma_cast(df.drop("c.d"))
+    assert dict(got.dtypes) == {"a": "double", "genres": "string", "b": "double", "none": "string", "mixed": "string"}
+    assert [r["a"] for r in got.collect()] == [1.5, -2.0, None]
+    assert sinks.numeric_columns_of(df.limit(0)) == []
+
+
 def test_batch_runs_write_every_output(spark):
     t = load_film_tables(spark, "/root/testdata/sf0.001")
     p = FilmPipeline(t, actor_min=5, director_min=3)

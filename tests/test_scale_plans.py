@@ -1,6 +1,8 @@
 """Plans as they run at scale: no broadcast of data-sized sides, filters at
 the scan, no single-partition step over rows, a hot key of one third."""
 
+import dataclasses
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from film_rows import film_tables, person, title
 from oracle_check import compare, duck
 from cinespark import queries as Q
 from cinespark.plans import facets, marts
+from cinespark.session import materialize_together
 
 SF = "/root/testdata/sf0.001"
 SMJ_KEYS = ["credits_base", "actor_mart", "director_mart", "stat_global", "movie_cast",
@@ -44,7 +47,60 @@ def test_facet_filters_reach_the_parquet_scan(spark):
     s = Q.serving(spark, SF)
     plan = _plan(facets.facet_filter(s, genres=["blue"], decades=[1990]))
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
-    assert ("EqualTo(genre,blue)" in pushed or "In(genre" in pushed) and "decade" in pushed
+    assert "EqualTo(genre,blue)" in pushed or "In(genre" in pushed
+    assert "decade" in plan.split("PartitionFilters: [")[1].split("]")[0]       # only its folders are listed
+
+
+def test_joins_of_serving_tables_need_no_shuffle(spark, no_broadcast):
+    s = Q.serving(spark, SF)
+    for df in (facets.facet_filter(s, actors=["nm0000005"]), facets.facet_filter(s, directors=["nm0000005"]),
+               s.movies.select("tconst", "genre").join(s.actors.select("tconst", "sexe", "age_in_movie"), "tconst")):
+        plan = _plan(df)
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(tconst" not in plan, plan
+    assert _plan(facets.age_by_sex(s)).count("Exchange hashpartitioning(tconst") == 0
+    assert _plan(facets.top_performers(s)).count("Exchange hashpartitioning(tconst") == 0
+
+
+def test_hot_film_keeps_the_tables_unbucketed(spark):
+    hot = spark.range(20_000).select(F.lit("tt1").alias("tconst"), (F.col("id") % 3 * 10 + 1990).cast("int").alias("decade"))
+    cold = spark.range(20_000).select(F.concat(F.lit("tt"), "id").alias("tconst"), F.lit(1990).alias("decade"))
+    for first, bucketed in ((hot, False), (cold, True)):
+        kept = materialize_together({"a": first, "b": cold}, "tconst", "decade", {})
+        assert kept["a"].exceptAll(first).count() == 0 and kept["a"].count() == 20_000 and kept["a"].columns == first.columns
+        plan = _plan(kept["a"].groupBy("tconst").count())
+        assert ("Exchange" not in plan) == bucketed
+
+
+def test_a_third_of_all_people_prunes_the_scan(spark, no_broadcast):
+    """The Bloom filter of the selected ids stands on the scan of the serving table."""
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    try:
+        s = Q.serving(spark, SF)
+        df = Q.QUERIES["facet_filter_third"](spark, SF)
+        assert "might_contain" in df._jdf.queryExecution().optimizedPlan().toString()
+        third = sorted({r[0] for r in s.actors.select("Nconst").collect() if int(r[0][2:]) % 3 == 0})
+        wanted = facets.facet_filter(s, genres=Q.G, actors=third).collect()
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, wanted))
+        long = [*third, *(f"nm{i:09d}" for i in range(5000)), None]                # a long list: a semi join on ids
+        plan = facets.select_people(s.actors, long)
+        assert "SEMI" in plan._jdf.queryExecution().optimizedPlan().toString().upper()
+        assert sorted(map(tuple, plan.collect())) == sorted(map(tuple, s.actors.filter(F.col("Nconst").isin(third)).collect()))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+
+
+def test_views_without_people_read_the_cube_only(spark):
+    s = Q.serving(spark, SF)
+    films = dataclasses.replace(s, cube=None)
+    for chosen in ({}, {"genres": Q.G}, {"decades": Q.D, "notes": Q.N}, {"genres": Q.G, "decades": Q.D, "notes": Q.N}, {"genres": ["none"]}):
+        for view in (lambda x: facets.key_numbers(x, **chosen), lambda x: facets.count_by(x, "genre", **chosen),
+                     lambda x: facets.count_by(x, "decade", **chosen), lambda x: facets.rating_votes(x, **chosen),
+                     lambda x: facets.rating_votes(x, view="decade", **chosen), lambda x: facets.runtime_by(x, **chosen),
+                     lambda x: facets.runtime_by(x, view="decade", **chosen)):
+            a, b = view(s), view(films)
+            assert a.schema.simpleString() == b.schema.simpleString() and a.collect() == b.collect()
+    files = lambda df: {f.rsplit("/", 2)[-2].rsplit("-", 5)[0] for f in df.inputFiles()}
+    assert files(facets.rating_votes(s, genres=Q.G)) == {"facet_cube"}
 
 
 def test_actor_mart_has_no_single_partition_step(spark):
@@ -143,7 +199,7 @@ def test_credit_join_is_split_at_runtime(spark, skew_conf):
 
 def test_scans_read_only_what_they_use(spark):
     s = Q.serving(spark, SF)
-    schema = _plan(facets.count_by(s, "genre", genres=["blue"], notes=[5])).split("ReadSchema: ")[1].split("\n")[0]
+    schema = _plan(facets.count_by(dataclasses.replace(s, cube=None), "genre", genres=["blue"], notes=[5])).split("ReadSchema: ")[1].split("\n")[0]
     assert schema == "struct<averagerating:double,genre:string>"
     plan = _plan(facets.age_by_sex(s, genres=["blue"]))
     assert "primaryName" not in plan and "film_per_decade" not in plan
