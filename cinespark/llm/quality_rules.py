@@ -44,7 +44,7 @@ SHOUT_SHARE = 0.3        # doubled exclamation marks per word from which a line
 ITEMS, ITEM_WORDS = 3, 3  # a menu has at least so many items of so many words on average
 MENU_SHARE = 0.6         # share of menu words from which a line of three words or more is a menu
 REPEAT_WORDS = 10        # of so many words or more, the lesser of these two must differ:
-DISTINCT_SHARE, DISTINCT_ROOT = 0.2, 2.0   # a share of the words, or a multiple of their number's square root (prose repeats words the longer it is)
+DISTINCT_SHARE, DISTINCT_LOG = 0.2, 4.3   # a share of the words, or a multiple of the logarithm of their number (a long line repeats its words)
 MIN_KEPT = 0.5           # share of a document's word characters that must be left
 
 
@@ -108,7 +108,7 @@ def _fails(line: Column, w: Column) -> Column:
     n = F.size(w)
     return ((F.length(line) - F.length(_without(line, SYMBOLS)) > SYMBOL_SHARE * n)
             | (line.contains("!!") & ((F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) / 2 > SHOUT_SHARE * n))
-            | ((n >= REPEAT_WORDS) & (F.size(F.array_distinct(w)) < F.least(DISTINCT_SHARE * n, DISTINCT_ROOT * F.sqrt(n))))
+            | ((n >= REPEAT_WORDS) & (F.size(F.array_distinct(w)) < F.least(DISTINCT_SHARE * n, DISTINCT_LOG * F.log(n))))
             | ((n <= SHORT_LINE) & (line.rlike(ELLIPSIS) | _phrases(line)))
             | ((n >= LONG_LINE) & ~line.rlike(CLOSING))
             | ((n <= ITEM_WORDS * SHORT_LINE) & _menu(line, n, F.transform(w, _lower))))
@@ -193,7 +193,7 @@ def oracle_ctes(source: str = "documents", name: str = "judged", extra: str = ""
     fails = f"""({n} > 0 AND (
         length(x) - length({less('x', symbols)}) > {SYMBOL_SHARE} * {n}
         OR (length(x) - length(replace(x, '!!', ''))) / 2 > {SHOUT_SHARE} * {n}
-        OR ({n} >= {REPEAT_WORDS} AND len(list_distinct({line_words})) < least({DISTINCT_SHARE} * {n}, {DISTINCT_ROOT} * sqrt({n})))
+        OR ({n} >= {REPEAT_WORDS} AND len(list_distinct({line_words})) < least({DISTINCT_SHARE} * {n}, {DISTINCT_LOG} * ln({n})))
         OR ({n} <= {SHORT_LINE} AND (regexp_matches(x, {quoted(ELLIPSIS)}) OR (regexp_matches({low}, {phrases})
             AND 2 * length({less(f"regexp_replace({low}, {phrases}, '', 'g')", spaces)}) <= length({less('x', spaces)}))))
         OR ({n} >= {LONG_LINE} AND NOT {closed})

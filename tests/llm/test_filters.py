@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(registry.ORACLES))
 def test_oracle(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     con.execute(f"CREATE VIEW o AS {registry.ORACLES[key]}")
     got = registry.QUERIES[key](spark, SF)
