@@ -94,7 +94,7 @@ def _menu(line: Column, n: Column, low: Column) -> Column:
     """Short items between separators, or mostly menu words; ``n`` words, no closing mark."""
     items = _bind(F.filter(F.split(line, SEPARATORS), lambda x: F.trim(x) != ""), lambda x: (F.size(x) >= ITEMS) & (n <= ITEM_WORDS * F.size(x)))
     known = F.size(F.filter(low, lambda w: w.isin(MENU_WORDS)))
-    return ((line.rlike(SEPARATORS) & items) | ((n >= 3) & (known >= MENU_SHARE * n))) & ~line.rlike(CLOSING)
+    return ~line.rlike(CLOSING) & ((line.rlike(SEPARATORS) & items) | ((n >= 3) & (known >= MENU_SHARE * n)))
 
 
 def _phrases(line: Column) -> Column:
