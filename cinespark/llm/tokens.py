@@ -94,7 +94,10 @@ class Encoder:
 
     def _letters(self, word: str, before: str) -> bytes:
         """A run of letters, which is one piece for the model."""
-        form = (before + word).encode().decode("latin-1").translate(self.table)
+        if word.isascii():                                           # letters stand for themselves
+            form = self.table[32] + word if before else word
+        else:
+            form = (before + word).encode().decode("latin-1").translate(self.table)
         return self._pack([t.id for t in self.model.tokenize(form)])
 
     def _tail(self, tail: str) -> bytes:
