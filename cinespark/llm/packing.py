@@ -69,20 +69,23 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
 
 
 _SIGNS: dict[int, np.ndarray] = {}
+#: The signs that a number of DIMS bits stands for.
+_CORNERS = (np.arange(1 << DIMS)[:, None] >> np.arange(DIMS) & 1) * 2 - 1
 
 
 def _signs(size: int) -> np.ndarray:
+    """The hashed signs of each id, as bits."""
     if size not in _SIGNS:
         with np.errstate(over="ignore"):
             h = mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        _SIGNS[size] = (((h[:, None] >> np.arange(DIMS, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) * 2 - 1)
+        _SIGNS[size] = (h & np.uint64((1 << DIMS) - 1)).astype(np.uint8)
     return _SIGNS[size]
 
 
 def curve_keys(ids: list[np.ndarray], size: int) -> np.ndarray:
     """Hilbert keys of documents, from their ids."""
     signs = _signs(size)
-    points = np.array([signs[i].sum(0) / np.sqrt(max(len(i), 1)) for i in ids], np.float64).reshape(-1, DIMS)
+    points = np.array([np.bincount(signs[i], minlength=1 << DIMS) @ _CORNERS / np.sqrt(max(len(i), 1)) for i in ids], np.float64).reshape(-1, DIMS)
     cells = ((1 + np.tanh(points / 4)) / 2 * (1 << BITS)).astype(np.int64)
     return hilbert(np.clip(cells, 0, (1 << BITS) - 1), BITS).astype(np.int64)
 
