@@ -3,7 +3,8 @@
 Two kinds of tokenizer are recognised from their file, in which a single blank always ends a piece:
 lower-cased words without white space, and byte-level BPE whose pieces take one leading blank. Plain
 words go to the library's BPE model, other pieces to its whole encoder; a text (or tokenizer) for which
-the cut is not safe, or in which an added token stands, is encoded as a whole. Ids equal those of
+the cut is not safe is encoded as a whole. Added tokens in a text part it into sections, which the library
+encodes one by one; where an added token takes white space or the like, the text stays whole. Ids equal those of
 ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``.
 """
 
@@ -69,6 +70,9 @@ class Encoder:
             spec = json.load(f)
         self.kind = self._kind(spec)
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        plain = not any(t.get(f) for t in spec.get("added_tokens") or [] for f in ("lstrip", "rstrip", "single_word", "normalized"))
+        self.apart = {t: self._pack([self.tok.token_to_id(t)]) for t in self.added} if plain else {}
+        self.sections = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         self.folded = [t["content"].lower() for t in spec.get("added_tokens") or [] if t.get("normalized")]
         self.words = _Cache(self._word, limit)        # pieces after a blank, or all pieces of the word kind
         self.bare = _Cache(lambda w: self._letters(w, ""), limit)
@@ -133,22 +137,34 @@ class Encoder:
             return self.first["\n"] + self.bare[plain[1]] + self._tail(plain[2])
         return self._whole(line)
 
-    def encode(self, text: str) -> bytes:
-        if self.kind == "whole" or any(t in text for t in self.added) or self.folded and any(t in text.lower() for t in self.folded):
-            return self._whole(text)
+    def _section(self, text: str) -> bytes:
+        """A text without added tokens."""
         parts = text.split(" ")
         if self.kind == "word":
             return b"".join(map(self.words.__getitem__, parts))
-        if "" in parts:
+        tail = b""
+        if len(parts) > 1 and not parts[-1]:                        # one blank at the end is a piece of its own
+            parts.pop()
+            tail = self.first[" "]
+        head = parts[0]
+        if "" in parts[1:] or not head and len(parts) == 1 or tail and parts[-1][-1:].isspace():
             return self._whole(text)
         try:
-            head = parts[0]
-            if head[0].isspace() or head[-1].isspace():
+            if head and (head[0].isspace() or head[-1].isspace()):
                 return self._whole(text)
-            return self.first[head] + b"".join(map(self.words.__getitem__, parts[1:]))
+            return (self.first[head] if head else b"") + b"".join(map(self.words.__getitem__, parts[1:])) + tail
         except _Unsafe:
             return self._whole(text)
 
+    def encode(self, text: str) -> bytes:
+        if self.kind == "whole" or self.folded and any(t in text.lower() for t in self.folded):
+            return self._whole(text)
+        if not any(t in text for t in self.added):
+            return self._section(text)
+        if not self.apart:
+            return self._whole(text)
+        return b"".join([self.apart[x] if x in self.apart else self._section(x) for x in self.sections.split(text) if x])
+
 
 _ENCODERS: dict[str, Encoder] = {}
 

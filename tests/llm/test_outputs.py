@@ -20,7 +20,7 @@ def whole(path):
 def test_cached_encoder_equals_the_library(rows, name):
     path = packing.tokenizer_path(name)
     enc, want = Encoder(path, limit=50), whole(path)
-    odd = ["a  b", "foo \n bar", "\nfoo", "it's a 'test's", "tab\tx", "É́a b", "a\x1cb c", "<|endoftext|> x", "a <|endoftext|> b", "a<|startoftext|>b c", "x <|ENDOFTEXT|>", "<|endoftext", "a\x85b  c", "1a6, b--c", "x\r\ny z", " "]
+    odd = ["a  b", "foo \n bar", "\nfoo", "it's a 'test's", "tab\tx", "É́a b", "a\x1cb c", "<|endoftext|> x", "a b <|endoftext|>", "a b  <|endoftext|>  c d", " a b ", "a b\n <|endoftext|>\nc", " ", "<|endoftext|><|endoftext|>a", "a\t <|endoftext|> \tb", "a <|endoftext|> b", "a<|startoftext|>b c", "x <|ENDOFTEXT|>", "<|endoftext", "a\x85b  c", "1a6, b--c", "x\r\ny z", " "]
     for t in [*odd, *(r[1] or "" for r in rows)]:
         assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == want(t)[:-1].tolist()
 
