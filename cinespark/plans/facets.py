@@ -71,6 +71,8 @@ def facet_filter(s: Serving, genres: Sequence[str] | None = None,
     appears once per selected person credited in it; with actors and
     directors both must be credited (columns ``_x`` actor, ``_y`` director).
     """
+    a = select_people(s.actors, actors) if _given(actors) else None  # before the films, which are read as these allow
+    d = select_people(s.directors, directors) if _given(directors) else None
     df = s.movies
     if genres:
         df = df.filter(F.col("genre").isin(list(genres)))
@@ -78,8 +80,6 @@ def facet_filter(s: Serving, genres: Sequence[str] | None = None,
         df = df.filter(F.col("decade").isin(list(decades)))
     if notes:
         df = df.filter(F.floor("averagerating").cast("int").isin(list(notes)))
-    a = select_people(s.actors, actors) if _given(actors) else None
-    d = select_people(s.directors, directors) if _given(directors) else None
     if a is not None and d is not None:
         df = (df.join(a.select("tconst", F.col("primaryName").alias("primaryName_x"),
                                F.col("Nconst").alias("Nconst_x"), "sexe",
@@ -130,7 +130,7 @@ def key_numbers(s: Serving, genres=None, decades=None, notes=None,
 
 def _on_cube(s: Serving, actors: Selection, directors: Selection) -> bool:
     """Whether the stored cube answers a view: no person is selected."""
-    return s.cube is not None and not _given(actors) and not _given(directors)
+    return not _given(actors) and not _given(directors) and s.cube is not None
 
 
 def selected_names(s: Serving, actors: Selection = None, directors: Selection = None) -> DataFrame:
@@ -227,8 +227,8 @@ def top_performers(s: Serving, genres=None, decades=None, notes=None,
     0 Homme, otherwise Femme. Plan: per-name counts are a partial aggregate;
     the top n is TakeOrderedAndProject (each task keeps its best n).
     """
-    films = facet_filter(s, genres, decades, notes, directors=directors)
     acts = select_people(s.actors, actors) if _given(actors) else s.actors
+    films = facet_filter(s, genres, decades, notes, directors=directors)
     rows = films.select("tconst").join(acts.select("tconst", "primaryName", "sexe"), "tconst")
     counts = rows.groupBy("primaryName", "sexe").agg(F.count("tconst").alias("n"))
     best = top_k(counts, [F.col("n").desc(), F.col("primaryName").asc(), F.col("sexe").asc()], n)

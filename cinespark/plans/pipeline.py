@@ -21,7 +21,7 @@ from cinespark.operators.paging import PageIndex
 from cinespark.plans import facets, features, marts
 from cinespark.plans.catalog import FilmTables
 from cinespark.plans.cube import facet_cube
-from cinespark.session import materialize, materialize_together
+from cinespark.session import StoredTogether, materialize
 from cinespark.sources import serving as sv
 from cinespark.sources.sinks import csv_sink, parquet_sink
 from cinespark.sources.tsv import ORDINAL
@@ -88,15 +88,19 @@ class FilmPipeline:
 
     @cached_property
     def serving(self) -> sv.Serving:
-        """The three serving tables, stored (the dashboard's snapshot); rows
-        with a NULL are dropped here, once."""
-        kept = materialize_together(
-            {"serving_movie": self.scan_movies().na.drop(), "serving_actor": self.scan_actors().na.drop(),
-             "serving_director": self.scan_directors().na.drop()}, "tconst", "decade",
+        """The three serving tables, stored (the dashboard's snapshot) when a
+        view first reads them; rows with a NULL are dropped here, once."""
+        kept = StoredTogether(
+            {"serving_movie": lambda: self.scan_movies().na.drop(), "serving_actor": lambda: self.scan_actors().na.drop(),
+             "serving_director": lambda: self.scan_directors().na.drop()}, "tconst", "decade",
             {"serving_movie": ["genre"], "serving_actor": ["Nconst"], "serving_director": ["Nconst"]})
-        movies = kept["serving_movie"]
-        return sv.Serving(movies=movies, actors=kept["serving_actor"], directors=kept["serving_director"],
-                          cube=materialize(facet_cube(movies), "facet_cube"), names=self.person_names)
+        return sv.Serving(movies=lambda: kept["serving_movie"], actors=lambda: kept["serving_actor"],
+                          directors=lambda: kept["serving_director"], cube=lambda: self.cube, names=lambda: self.person_names)
+
+    @cached_property
+    def cube(self) -> DataFrame:
+        """The facet cube of the films, stored."""
+        return materialize(facet_cube(self.serving.movies), "facet_cube")
 
     @cached_property
     def person_names(self) -> DataFrame | None:

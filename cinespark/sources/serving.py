@@ -9,7 +9,8 @@ predicate to the database (written, but not tested: no database here).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,10 +60,18 @@ def read_jdbc_serving(spark: SparkSession, url: str, table: str, predicate: str,
 @dataclass
 class Serving:
     """The three serving tables of the dashboard; the facet cube of the films
-    and the people's names by their last source row, where they are known."""
+    and the people's names by their last source row, where they are known.
+    A function in place of a table is called whenever the table is read."""
 
-    movies: DataFrame
-    actors: DataFrame
-    directors: DataFrame
-    cube: DataFrame | None = None
-    names: DataFrame | None = None
+    movies: DataFrame | Callable[[], DataFrame]
+    actors: DataFrame | Callable[[], DataFrame]
+    directors: DataFrame | Callable[[], DataFrame]
+    cube: DataFrame | Callable[[], DataFrame] | None = None
+    names: DataFrame | Callable[[], DataFrame | None] | None = None
+
+    def __getattribute__(self, name):
+        value = super().__getattribute__(name)
+        return value() if name in _TABLES and callable(value) else value
+
+
+_TABLES = frozenset(f.name for f in fields(Serving))
