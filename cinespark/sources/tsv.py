@@ -90,11 +90,16 @@ def read_tables(spark: SparkSession, path: str, names: list[str] | None = None,
     return tables
 
 
+#: Rows of a written file: a .gz file is read by one task, so long ones are parted.
+FILE_ROWS = 1_000_000
+
+
 def write_raw_tsv(df: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Write a raw (text) table in the same format."""
+    """Write a raw (text) table in the same format, in files of at most FILE_ROWS rows."""
     (df.write.mode("overwrite").options(sep="\t", header="true", quote="", escape="",
                                         ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
-                                        compression=compression).csv(path))
+                                        compression=compression, maxRecordsPerFile=FILE_ROWS,
+                                        **{"zlib.compress.level": "BEST_SPEED"}).csv(path))
 
 
 def to_parquet(tables: FilmTables, path: str) -> dict[str, str]:
