@@ -2,8 +2,9 @@
 
 Two kinds of tokenizer are recognised from their file, in which a single blank always ends a piece:
 lower-cased words without white space, and byte-level BPE whose pieces take one leading blank. Plain
-words go to the library's BPE model, other pieces to its whole encoder; a text (or tokenizer) for which
-the cut is not safe is encoded as a whole. Added tokens in a text part it into sections, which the library
+words go to the library's BPE model, other pieces to its whole encoder. Texts of ASCII and Latin-1 letters are
+cut by the pattern of the lower-casing kind, so each word is made once, whatever its case and the signs after
+it. A text (or tokenizer) for which the cut is not safe is encoded as a whole. Added tokens in a text part it into sections, which the library
 encodes one by one; where an added token takes white space or the like, the text stays whole. Ids equal those of
 ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``.
 """
@@ -18,6 +19,10 @@ import numpy as np
 
 #: ASCII and Latin-1 letters, then ASCII punctuation other than the apostrophe.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Texts of these characters are cut by _PIECES, once lower-cased, as the library does by _PATTERN.
+_SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
+_PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[!-/:-@\\[-`{-~]+")
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class _Unsafe(Exception):
@@ -69,13 +74,15 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.kind = self._kind(spec)
+        self.cut = self.kind == "word" and spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == _PATTERN
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         plain = not any(t.get(f) for t in spec.get("added_tokens") or [] for f in ("lstrip", "rstrip", "single_word", "normalized"))
         self.apart = {t: self._pack([self.tok.token_to_id(t)]) for t in self.added} if plain else {}
         self.sections = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         self.folded = [t["content"].lower() for t in spec.get("added_tokens") or [] if t.get("normalized")]
-        self.words = _Cache(self._word, limit)        # pieces after a blank, or all pieces of the word kind
-        self.bare = _Cache(lambda w: self._letters(w, ""), limit)
+        # pieces after a blank, or all pieces of the word kind; bare words: of one cache where a piece alone has the same ids
+        self.words = _Cache(self._word, 2 * limit if self.cut else limit)
+        self.bare = self.words if self.cut else _Cache(lambda w: self._letters(w, ""), limit)
         self.first = _Cache(self._first, 50_000)
 
     @staticmethod
@@ -117,7 +124,8 @@ class Encoder:
         plain = _PLAIN.fullmatch(piece)
         if self.kind == "word":
             if plain:
-                return self.bare[plain[1].lower()] + self._tail(plain[2])
+                low = plain[1].lower()
+                return self._letters(low, "") if low == piece else self.bare[low] + self._tail(plain[2])
             if "\n" in piece:
                 return b"".join([self.words[x] for x in piece.split("\n")])
             return self._whole(piece)
@@ -139,6 +147,8 @@ class Encoder:
 
     def _section(self, text: str) -> bytes:
         """A text without added tokens."""
+        if self.cut and _SIMPLE.fullmatch(text):
+            return b"".join(map(self.bare.__getitem__, _PIECES.findall(text.lower())))
         parts = text.split(" ")
         if self.kind == "word":
             return b"".join(map(self.words.__getitem__, parts))
