@@ -94,11 +94,11 @@ def _tokenize(path: str):
     def run(batches):
         enc = encoder(path)
         for batch in batches:
-            blobs = [enc.encode(t or "") for t in batch.column(1).to_pylist()]
-            ids = [np.frombuffer(b, enc.dtype) for b in blobs]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(i) + 1 for i in ids], pa.int64()),
-                 pa.array(curve_keys(ids, enc.size)), pa.array(blobs, pa.binary())], names=["doc_id", "n", "key", "ids"])
+            for first, blobs in enc.encode_rows(batch.column(1)):
+                ids = [np.frombuffer(b, enc.dtype) for b in blobs.to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(ids)), pa.array([len(i) + 1 for i in ids], pa.int64()),
+                     pa.array(curve_keys(ids, enc.size)), blobs], names=["doc_id", "n", "key", "ids"])
     return run
 
 

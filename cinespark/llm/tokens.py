@@ -4,7 +4,8 @@ Two kinds of tokenizer are recognised from their file, in which a single blank a
 lower-cased words without white space, and byte-level BPE whose pieces take one leading blank. Plain
 words go to the library's BPE model, other pieces to its whole encoder. Texts of ASCII and Latin-1 letters are
 cut by the pattern of the lower-casing kind, so each word is made once, whatever its case and the signs after
-it. A text (or tokenizer) for which the cut is not safe is encoded as a whole. Added tokens in a text part it into sections, which the library
+it. ``encode_rows`` does so for many texts at once, for both kinds: numpy finds the pieces in the bytes of some
+megabytes of texts, Arrow numbers the different ones, and only those are asked of the cache. A text (or tokenizer) for which the cut is not safe is encoded as a whole. Added tokens in a text part it into sections, which the library
 encodes one by one; where an added token takes white space or the like, the text stays whole. Ids equal those of
 ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``.
 """
@@ -16,19 +17,63 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from cinespark.llm.common import shards, utf8_list
 
 #: ASCII and Latin-1 letters, then ASCII punctuation other than the apostrophe.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 #: Texts of these characters are cut by _PIECES, once lower-cased, as the library does by _PATTERN.
 _SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[!-/:-@\\[-`{-~]+")
+#: Bytes of texts of _SIMPLE characters: the end of a text, others, then white space, letters, digits and signs.
+#: Letters beyond ASCII are byte C3 and one more there, which is not 97 or B7 (signs of multiplication and division).
+_STOP, _OTHER, _SPACE, _LETTER, _DIGIT, _SIGN = range(6)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[33:127], _KINDS[48:58], _KINDS[65:91], _KINDS[97:123] = _SIGN, _DIGIT, _LETTER, _LETTER
+_KINDS[128:192], _KINDS[[0x97, 0xB7]], _KINDS[0xC3] = _LETTER, _OTHER, _LETTER
+_KINDS[[9, 10, 13, 32]], _KINDS[0] = _SPACE, _STOP
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def _lowered(buf: np.ndarray) -> np.ndarray:
+    """The bytes of _SIMPLE texts in lower case."""
+    upper = (buf - np.uint8(65) < 26) | (buf - np.uint8(0x80) < 31) & (np.append(np.uint8(0), buf[:-1]) == 0xC3)
+    return buf + upper.view(np.uint8) * np.uint8(32)
+
+
+def _starts(buf: np.ndarray, kinds: np.ndarray, blank: bool) -> np.ndarray:
+    """Starts of the pieces of _SIMPLE texts with a zero byte after each, in which every byte is in a piece.
+
+    With ``blank`` as byte-level BPE cuts them: a piece takes one blank before it, digits stay together. Else as
+    _PATTERN does: each digit is a piece, and white space, which that drops, is a piece here."""
+    edge = np.ones(len(buf), bool)
+    np.not_equal(kinds[1:], kinds[:-1], out=edge[1:])
+    edge |= kinds == (_STOP if blank else _DIGIT)
+    if blank:
+        last = np.flatnonzero(edge[1:] & (kinds[:-1] == _SPACE) & (kinds[1:] != _STOP))      # before a piece of another kind
+        edge[last] = True
+        edge[last[buf[last] == 32] + 1] = False
+    else:
+        edge |= kinds == _STOP
+    mark = np.flatnonzero((buf[:-1] == 39) & edge[:-1] & (kinds[1:] == _LETTER))             # an apostrophe alone, then letters
+    one, two = buf[mark + 1], buf[np.minimum(mark + 2, len(buf) - 1)]
+    short = mark[np.isin(one, list(b"stmd"))]
+    long = mark[(one == ord("r")) & (two == ord("e")) | (one == ord("v")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))]
+    edge[short + 1] = edge[long + 1] = False
+    edge[short + 2] = edge[long + 3] = True
+    return np.flatnonzero(edge)
+
+
 class _Unsafe(Exception):
     """White space at the edge of a piece."""
 
 
+#: Bytes of texts that ``encode_rows`` cuts at once.
+CHUNK = 4 << 20
+
+
 class _Cache(dict):
     """At most ``limit`` values: when half are new, the older half goes, but for those asked again."""
 
@@ -84,6 +129,7 @@ class Encoder:
         self.words = _Cache(self._word, 2 * limit if self.cut else limit)
         self.bare = self.words if self.cut else _Cache(lambda w: self._letters(w, ""), limit)
         self.first = _Cache(self._first, 50_000)
+        self.pieces = self.bare if self.cut else _Cache(self._piece, limit)
 
     @staticmethod
     def _kind(spec: dict) -> str:
@@ -138,6 +184,14 @@ class Encoder:
             return self.words[lines[0]] + b"".join([self._first_line("\n" + x) for x in lines[1:]])
         return self._whole(" " + piece)
 
+    def _piece(self, piece: str) -> bytes:
+        """A piece of the byte kind, with the blank before it."""
+        if piece.isascii() and piece.isprintable():
+            form = piece.replace(" ", self.table[32])
+        else:
+            form = piece.encode().decode("latin-1").translate(self.table)
+        return self._pack([t.id for t in self.model.tokenize(form)])
+
     def _first_line(self, line: str) -> bytes:
         """A line feed and the piece after it."""
         plain = _PLAIN.fullmatch(line[1:])
@@ -175,6 +229,49 @@ class Encoder:
             return self._whole(text)
         return b"".join([self.apart[x] if x in self.apart else self._section(x) for x in self.sections.split(text) if x])
 
+    def encode_rows(self, column: pa.Array):
+        """(first row, ids of that row and the next ones as an array of ``encode``'s bytes), for a column of texts; null is empty."""
+        texts = utf8_list(column)
+        for first, end in shards(texts, CHUNK):
+            yield first, self._chunk(texts[first:end])
+
+    def _chunk(self, texts: list[bytes]) -> pa.Array:
+        if not self.cut and self.kind != "byte" or self.folded:
+            return pa.array([self.encode(t.decode()) for t in texts], pa.binary())
+        marks = [t.encode() for t in self.added]
+        apart = {i: t for i, t in enumerate(texts) if any(m in t for m in marks)}
+        buf, kinds, odd = self._buffer([b"" if i in apart else t for i, t in enumerate(texts)] if apart else texts)
+        if len(odd):                                                 # texts of other characters, one by one
+            apart.update((i, texts[i]) for i in odd.tolist())
+            buf, kinds, _ = self._buffer([b"" if i in apart else t for i, t in enumerate(texts)])
+        if self.cut:
+            buf = _lowered(buf)
+        starts = _starts(buf, kinds, not self.cut)
+        ends = np.flatnonzero(kinds[starts] == _STOP)
+        offsets = np.append(starts, len(buf)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buf)]).dictionary_encode()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        names[names.index("\0")] = ""
+        blobs = pa.array(list(map(self.pieces.__getitem__, names)), pa.binary()).take(pieces.indices)
+        _, offsets, data = blobs.buffers()
+        offsets = np.append(np.int32(0), np.frombuffer(offsets, np.int32)[ends])
+        out = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), data])
+        if not apart:
+            return out
+        return pc.replace_with_mask(out, pa.array(np.isin(np.arange(len(texts)), list(apart))),
+                                    pa.array([self.encode(apart[i].decode()) for i in sorted(apart)], pa.binary()))
+
+    @staticmethod
+    def _buffer(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts with a zero byte after each, the kinds of the bytes, and the numbers of texts that hold others."""
+        buf = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+        kinds = _KINDS[buf]
+        odd = np.flatnonzero(kinds <= _OTHER)                        # one is the end of the text
+        if len(odd) == len(texts):
+            return buf, kinds, odd[:0]
+        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+        return buf, kinds, np.flatnonzero(np.bincount(np.searchsorted(ends, odd, "right"), minlength=len(texts)) > 1)
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
