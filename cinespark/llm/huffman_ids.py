@@ -126,8 +126,8 @@ def _tokenize(path: str):
     def run(batches):
         enc = encoder(path)
         for batch in batches:
-            blobs = [enc.encode(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["ord", "ids"])
+            for first, blobs in enc.encode_rows(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(blobs)), blobs], names=["ord", "ids"])
     return run
 
 
